@@ -38,6 +38,8 @@ def register(name: str, sql: str | None = None):
 def all_queries() -> dict[str, Query]:
     # Import the plan modules for their registrations.
     from textlab.plans import (  # noqa: F401
+        q_agreement,
+        q_labels,
         q_rules,
     )
     return dict(_QUERIES)
