@@ -33,7 +33,8 @@ def ngrams(toks, n_min: int = 1, n_max: int = 1) -> Column:
     """Word n-grams for every n in [n_min, n_max], joined by one blank.
 
     Order: all 1-grams in position order, then all 2-grams, ...  Arrays
-    shorter than n contribute nothing for that n.
+    shorter than n contribute nothing for that n.  Pass a column (not an
+    unevaluated expression): the lambda reads it once per position.
     """
     t = _col(toks)
     empty = F.array().cast("array<string>")

@@ -39,6 +39,8 @@ def all_queries() -> dict[str, Query]:
     # Import the plan modules for their registrations.
     from textlab.plans import (  # noqa: F401
         q_agreement,
+        q_explore,
+        q_text,
         q_labels,
         q_rules,
     )

@@ -114,3 +114,15 @@ def title_col(text_col: str = "text"):
 
 def title_sql(text_sql: str = "text") -> str:
     return f"split_part({text_sql}, chr(10), 1)"
+
+
+def categories_col():
+    """Derived list column: NULL when doc_id % 5 = 0, [] when 1, else [lang, source]."""
+    m = F.col("doc_id") % 5
+    return (F.when(m == 0, F.lit(None).cast("array<string>"))
+            .when(m == 1, F.array().cast("array<string>"))
+            .otherwise(F.array("lang", "source")))
+
+
+CATEGORIES_SQL = """CASE WHEN doc_id % 5 = 0 THEN NULL WHEN doc_id % 5 = 1 THEN []::VARCHAR[]
+     ELSE [lang, source] END"""
