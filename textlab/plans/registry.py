@@ -43,5 +43,6 @@ def all_queries() -> dict[str, Query]:
         q_text,
         q_labels,
         q_rules,
+        q_splits,
     )
     return dict(_QUERIES)
