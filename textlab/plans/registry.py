@@ -40,6 +40,7 @@ def all_queries() -> dict[str, Query]:
     from textlab.plans import (  # noqa: F401
         q_agreement,
         q_explore,
+        q_features,
         q_text,
         q_labels,
         q_rules,
