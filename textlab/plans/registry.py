@@ -43,6 +43,7 @@ def all_queries() -> dict[str, Query]:
         q_features,
         q_text,
         q_labels,
+        q_models,
         q_rules,
         q_splits,
     )
