@@ -45,6 +45,7 @@ def all_queries() -> dict[str, Query]:
         q_text,
         q_labels,
         q_models,
+        q_report,
         q_rules,
         q_splits,
     )
