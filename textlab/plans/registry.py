@@ -39,6 +39,7 @@ def all_queries() -> dict[str, Query]:
     # Import the plan modules for their registrations.
     from textlab.plans import (  # noqa: F401
         q_agreement,
+        q_audit,
         q_corpus,
         q_explore,
         q_features,
