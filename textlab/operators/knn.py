@@ -5,6 +5,11 @@ Method (euclidean distance, a metric):
 1. Copies are collapsed: identical vectors become one representative with a
    multiplicity and its k+1 smallest member ids (a group of copies can be a
    third of all rows; it is then one representative, not n^2 pairs).
+
+Pruning is as good as the data's structure: on clustered embeddings most
+(cell, ring) keys are skipped; on unstructured high-dimensional vectors the
+bands cover most rings and the candidate set approaches all pairs (still
+spread over (cell, ring) keys, never one group).
 2. ``n_pivots`` representatives (md5 order) are pivots, a bounded array
    shipped to every task.  Every representative goes to its nearest pivot's
    cell with radius r = d(x, pivot).
@@ -37,17 +42,21 @@ def _as_double(vec: Column) -> Column:
     return F.transform(vec, lambda x: x.cast("double"))
 
 
-def knn(points: DataFrame, id_col: str, vec_col: str, k: int = 10, n_pivots: int = 16, n_rings: int = 32,
+def knn(points: DataFrame, id_col: str, vec_col: str, k: int = 10, n_pivots: int = 16, n_rings: int = 8,
         seed: int = 42, digits: int = 9) -> DataFrame:
     """(id, neighbor_id, distance, rank) for the k nearest other points;
     ties by neighbour id; distance rounded to ``digits`` before ranking."""
     base = points.select(F.col(id_col).alias("_id"), _as_double(F.col(vec_col)).alias("_v"))
     base = base.withColumn("_vh", F.xxhash64("_v"))
-    # 1. representatives of identical vectors
-    ranked = exact_rank(base, ["_vh", "_v"], ["_id"], "_mr")
-    reps = ranked.groupBy("_vh", "_v").agg(
-        F.min("_id").alias("rep"), F.count(F.lit(1)).alias("mult"),
-        F.array_sort(F.collect_list(F.when(F.col("_mr") <= k + 1, F.col("_id")))).alias("members"))
+    # 1. representatives of identical vectors: the k+1 smallest ids of each
+    # group of copies (row_number <= k+1 gets a partial per-group limit before
+    # the shuffle, so a huge group of copies stays bounded).
+    w_copy = Window.partitionBy("_vh", "_v").orderBy("_id")
+    top_ids = base.withColumn("_mr", F.row_number().over(w_copy)).filter(F.col("_mr") <= k + 1)
+    members = top_ids.groupBy("_vh", "_v").agg(F.min("_id").alias("rep"),
+                                               F.array_sort(F.collect_list("_id")).alias("members"))
+    mult = base.groupBy("_vh", "_v").agg(F.count(F.lit(1)).alias("mult"))
+    reps = members.join(mult, ["_vh", "_v"])
     reps = reps.drop("_vh")
     # 2. pivots (bounded) and cells
     piv = reps.select("_v", h60(hash_key(F.lit(seed), "rep")).alias("_h"), "rep").orderBy("_h", "rep").limit(n_pivots)
@@ -57,8 +66,8 @@ def knn(points: DataFrame, id_col: str, vec_col: str, k: int = 10, n_pivots: int
     reps = reps.withColumn("_r", F.array_min("_pd"))
     reps = reps.withColumn("cell", (F.array_position("_pd", F.col("_r")) - 1).cast("int"))
     # 3. per-cell radius bounds (k+1 smallest radii, bounded per cell)
-    top = exact_rank(reps.select("cell", "_r", "rep", "mult"), ["cell"], ["_r", "rep"], "_cr").filter(
-        F.col("_cr") <= k + 1)
+    top = reps.select("cell", "_r", "rep", "mult").withColumn(
+        "_cr", F.row_number().over(Window.partitionBy("cell").orderBy("_r", "rep"))).filter(F.col("_cr") <= k + 1)
     top = top.withColumn("_cum", F.sum("mult").over(Window.partitionBy("cell").orderBy("_cr")))
     rk = top.filter(F.col("_cum") >= k + 1).groupBy("cell").agg(F.min("_r").alias("rk"))
     big = reps.groupBy("cell").agg(F.max("_r").alias("R"))
@@ -90,7 +99,7 @@ def knn(points: DataFrame, id_col: str, vec_col: str, k: int = 10, n_pivots: int
     # expand candidate representatives to member ids (at most k+1 each)
     pairs = cand.select("q", F.round("d", digits).alias("distance"), F.explode("members").alias("neighbor_id"))
     # every original point: its representative's list minus itself
-    members = ranked.select(F.col("_id").alias(id_col), "_vh", "_v").join(
+    members = base.select(F.col("_id").alias(id_col), "_vh", "_v").join(
         reps.select(F.xxhash64("_v").alias("_vh"), "_v", F.col("rep").alias("q")), ["_vh", "_v"]).drop("_vh", "_v")
     top_q = pairs.withColumn("_k", F.row_number().over(
         Window.partitionBy("q").orderBy("distance", "neighbor_id"))).filter(F.col("_k") <= k + 1)
