@@ -45,13 +45,16 @@ def _rewrite_partition(rewriter: Rewriter, scorer: Scorer, threshold: float, max
     def run(batches):
         for pdf in batches:
             src = pdf["_src"]
+            # With a metadata block the rewrite must keep "title: desc";
+            # one without a colon is a failed attempt.
+            needs_colon = pdf["_meta"].fillna("") != ""
             out = pd.Series([None] * len(pdf), index=pdf.index, dtype="object")
             todo = pd.Series(True, index=pdf.index)
             for attempt in range(max_attempts):
                 if not todo.any():
                     break
                 cand = rewriter(src[todo], attempt)
-                ok = scorer(src[todo], cand) >= threshold
+                ok = (scorer(src[todo], cand) >= threshold) & (~needs_colon[todo] | cand.str.contains(":", regex=False))
                 acc = ok[ok].index
                 out.loc[acc] = cand.loc[acc]
                 todo.loc[acc] = False
