@@ -49,3 +49,17 @@ def test_kfold_balanced(spark):
     folds = SP.stratified_kfold(_fixture(spark), "doc_id", "label", 5, 42)
     sizes = sorted(r["count"] for r in folds.groupBy("fold").count().collect())
     assert sizes[-1] - sizes[0] <= 2
+
+
+def test_fold_cache_hit_and_data_key(spark):
+    import tempfile
+    root = tempfile.mkdtemp(prefix="tl-cache-")
+    df = spark.createDataFrame([(i, i % 2, f"t{i}") for i in range(40)], "doc_id bigint, label int, text string")
+    a = SP.cached_folds(df, "doc_id", "label", "text", root, 3)
+    b = SP.cached_folds(df, "doc_id", "label", "text", root, 3)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    import os
+    assert len(os.listdir(root)) == 1
+    changed = df.withColumn("text", F.concat("text", F.lit("!")))
+    SP.cached_folds(changed, "doc_id", "label", "text", root, 3)
+    assert len(os.listdir(root)) == 2  # other data, other key

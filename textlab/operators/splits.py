@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textlab.functions.hashing import h60, hash_key
@@ -125,3 +125,29 @@ def oversample(df: DataFrame, id_col: str, label_col: str, seed: int = 42) -> Da
     copies = F.floor(big / F.col("_nc")) + F.when(F.col("rank") <= big % F.col("_nc"), 1).otherwise(0)
     out = ranked.withColumn("replica", F.explode(F.sequence(F.lit(1), copies.cast("int"))))
     return out.drop("rank", "_h", "_nc")
+
+
+def dataset_fingerprint(df: DataFrame, cols) -> Column:
+    """Row count and order-free sum of xxhash64 over ``cols`` (scalar subquery)."""
+    h = F.xxhash64(*cols).cast("decimal(38,0)")
+    return df.select(F.concat_ws(":", F.count(F.lit(1)).cast("string"), F.sum(h).cast("string"))).scalar()
+
+
+def cached_folds(docs: DataFrame, id_col: str, label_col: str, text_col: str, cache_root: str,
+                 n_splits: int = 10, test_size: float = 0.3, seed: int = 42, augment_factor: int = 1) -> DataFrame:
+    """V5: fold table cached as Parquet under a key of the settings *and* a
+    fingerprint of the data (the reference's key omits the data, so stale
+    folds were possible).  A hit reads the stored folds; a miss builds and
+    writes them."""
+    import hashlib
+    spark = docs.sparkSession
+    fp = docs.select(dataset_fingerprint(docs, [id_col, label_col, text_col]).alias("f")).first()["f"]
+    key = hashlib.sha256(f"{text_col}|{label_col}|{augment_factor}|{n_splits}|{test_size}|{seed}|{fp}"
+                         .encode()).hexdigest()
+    path = f"{cache_root.rstrip('/')}/folds-{key}"
+    try:
+        return spark.read.parquet(path)
+    except Exception:  # noqa: BLE001 - cache miss
+        folds = stratified_splits(docs, id_col, label_col, n_splits, test_size, seed)
+        folds.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)

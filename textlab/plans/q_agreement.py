@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from textlab.operators import agreement as A
+from textlab.functions.hashing import unit_sql
 from textlab.plans.registry import register
 from textlab.plans.views import RATINGS_SQL, WIDE_SQL, ratings, title_col, title_sql
 from textlab.sources.tables import read_table
@@ -117,3 +118,23 @@ SELECT rater, n, tp, fp, fn, tn,
 FROM c""")
 def q_coder_vs_expert(spark, sf_dir):
     return A.coder_vs_expert(ratings(spark, sf_dir), expert=3)
+
+
+def _poisson_sql(u: str) -> str:
+    cases = " ".join(f"WHEN {u} < {c!r} THEN {k}" for k, c in enumerate(A.POISSON1_CDF))
+    return f"CASE {cases} ELSE {len(A.POISSON1_CDF)} END"
+
+
+@register("category_agreement_ci", "WITH " + RATINGS_SQL + f""",
+r AS (SELECT * FROM ratings WHERE score IS NOT NULL),
+obj AS (SELECT object_id, count(*) AS n_i FROM r GROUP BY object_id),
+cat AS (SELECT object_id, score, count(*) AS n_k FROM r GROUP BY object_id, score),
+c AS (SELECT * FROM cat JOIN obj USING (object_id) WHERE n_i >= 2),
+cb AS (SELECT c.*, b FROM c, (SELECT unnest(range(1, 201)) AS b) bb),
+cw AS (SELECT *, {_poisson_sql(unit_sql("'42:' || CAST(b AS VARCHAR) || ':' || CAST(object_id AS VARCHAR)"))} AS w FROM cb),
+per AS (SELECT b, score, sum(w * n_k * (n_k - 1)) / nullif(sum(w * n_k * (n_i - 1)), 0) AS a FROM cw GROUP BY b, score)
+SELECT score, round(quantile_cont(a, 0.025), 6) AS ci_low, round(quantile_cont(a, 0.975), 6) AS ci_high,
+       count(a) AS replicates
+FROM per GROUP BY score""")
+def q_category_agreement_ci(spark, sf_dir):
+    return A.category_agreement_ci(ratings(spark, sf_dir), replicates=200, level=0.95, seed=42)

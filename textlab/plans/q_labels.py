@@ -115,3 +115,25 @@ def q_membership_semi(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents", spread=False).select("doc_id", "lang", "source")
     ids = read_table(spark, sf_dir, "labels").filter(F.col("quality") == 1)
     return L.semi_filter(docs, ids, "doc_id")
+
+
+@register("labelled_only", "WITH " + RATINGS_SQL + """,
+eq AS (SELECT object_id, min(score) AS label FROM ratings WHERE score IS NOT NULL
+       GROUP BY object_id HAVING min(score) = max(score))
+SELECT d.doc_id, eq.label AS label_equal FROM documents d LEFT JOIN eq ON d.doc_id = eq.object_id
+WHERE eq.label IS NOT NULL""")
+def q_labelled_only(spark, sf_dir):
+    # rows whose label (here the unanimous variant) is null are dropped.
+    r = ratings(spark, sf_dir)
+    eq = L.unanimous_label(r, "object_id", "score", "label").withColumnRenamed("object_id", "doc_id")
+    base = read_table(spark, sf_dir, "documents", spread=False).select("doc_id")
+    out = L.attach_label_variants(base, {"equal": eq}, key="doc_id")
+    return out.dropna(subset=["label_equal"])
+
+
+@register("id_search", """
+SELECT doc_id, lang, source FROM documents WHERE contains(CAST(doc_id AS VARCHAR), '42')""")
+def q_id_search(spark, sf_dir):
+    # substring search on an identifier.
+    d = read_table(spark, sf_dir, "documents", spread=False).select("doc_id", "lang", "source")
+    return d.filter(F.col("doc_id").cast("string").contains("42"))

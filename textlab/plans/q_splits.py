@@ -229,3 +229,14 @@ def q_evaluate_external(spark, sf_dir):
     ext = lab.select("doc_id", F.when(F.col("doc_id") % 9 == 0, F.lit("n/a"))
                      .otherwise(F.concat(F.lit(" "), F.col("toxic").cast("string"))).alias("prediction"))
     return E.evaluate_external(lab.select("doc_id", F.col("quality").alias("label")), ext, "doc_id")
+
+
+@register("holdout_split_mlm", f"""
+SELECT doc_id, position,
+       CASE WHEN position <= floor(0.2 * (SELECT count(*) FROM documents)) THEN 'test' ELSE 'train' END AS role
+FROM (SELECT doc_id, row_number() OVER (ORDER BY
+         {h60_sql("'42:' || CAST(doc_id AS VARCHAR)")}, doc_id) AS position FROM documents)""")
+def q_holdout_split_mlm(spark, sf_dir):
+    # V4: the masked-LM corpus split, 20 % held out, seeded.
+    d = read_table(spark, sf_dir, "documents", spread=False).select("doc_id")
+    return SP.holdout_split(d, "doc_id", 0.2, SEED).select("doc_id", "position", "role")
