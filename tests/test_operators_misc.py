@@ -37,12 +37,11 @@ def test_augment_folds_no_leak(spark):
     assert aug.filter("round > 0 AND role = 'test'").count() == 0
 
 
-def test_stem_tokens_map_and_join_agree(spark, monkeypatch):
+def test_stem_tokens_udf_and_join_agree(spark):
     df = spark.createDataFrame([(1, ["politik", "für", "bildung"]), (2, ["bekämpfung", "leben", "politik"])],
                                "doc_id long, tokens array<string>")
-    a = {r.doc_id: r.tokens for r in ST.stem_tokens(df, "tokens", id_col="doc_id").collect()}
-    monkeypatch.setattr(ST, "MAP_LIMIT", 0)
-    b = {r.doc_id: r.tokens for r in ST.stem_tokens(df, "tokens", id_col="doc_id").collect()}
+    a = {r.doc_id: r.tokens for r in ST.stem_tokens(df, "tokens", method="udf").collect()}
+    b = {r.doc_id: r.tokens for r in ST.stem_tokens(df, "tokens", id_col="doc_id", method="join").collect()}
     assert a == b == {1: ["polit", "fur", "bildung"], 2: ["bekampf", "leb", "polit"]}
 
 

@@ -1,9 +1,13 @@
 """German Snowball stemmer (the published algorithm) and its Spark use.
 
-The stemmer is a small per-word helper.  Spark applies it to the *distinct
-vocabulary* (one pandas UDF call per vocabulary batch, not per token); stems
-are mapped back onto token arrays JVM-side: through a map literal built by a
-scalar subquery when the vocabulary is small enough, else by a join.
+The stemmer is a small per-word helper.  Two ways to apply it:
+* ``method="udf"`` (default): a pandas UDF over the token arrays; each Python
+  worker memoises stems, so every distinct word is stemmed about once per
+  worker and no rows are shuffled.
+* ``method="join"``: stem the distinct vocabulary once (pandas UDF on the
+  vocabulary table), then join it back to (doc, position, token) rows and
+  re-collect per document (two shuffles, no per-token Python).
+(A map literal is not used: Spark looks keys up in a map by linear scan.)
 """
 
 from __future__ import annotations
@@ -21,8 +25,8 @@ STEP1 = ["ern", "em", "er", "en", "es", "e", "s"]
 STEP2 = ["est", "en", "er", "st"]
 STEP3 = ["isch", "lich", "heit", "keit", "end", "ung", "ig", "ik"]
 
-# Vocabularies up to this many terms are mapped back with a map literal.
-MAP_LIMIT = 500_000
+_MEMO: dict[str, str] = {}
+_MEMO_MAX = 2_000_000
 
 
 def _region(w: str, start: int) -> int:
@@ -117,25 +121,29 @@ def stem_vocabulary(token_df: DataFrame, tokens_col: str = "tokens") -> DataFram
     return vocab.select("term", stem_udf("term").alias("stem"))
 
 
+def _stem_cached(w: str) -> str:
+    v = _MEMO.get(w)
+    if v is None:
+        v = german_stem(w)
+        if len(_MEMO) < _MEMO_MAX:
+            _MEMO[w] = v
+    return v
+
+
+def _stem_arrays(arrs: pd.Series) -> pd.Series:
+    return arrs.map(lambda a: None if a is None else [_stem_cached(w) for w in a])
+
+
 def stem_tokens(token_df: DataFrame, tokens_col: str = "tokens", out_col: str | None = None,
-                id_col: str | None = None) -> DataFrame:
-    """Replace every token by its stem.
-
-    Small vocabulary (<= MAP_LIMIT terms, checked): a map literal from a scalar
-    subquery, applied with ``transform`` (no shuffle of the documents).
-    Larger: posexplode, join with the stem table, re-collect in position
-    order per document (needs ``id_col``).
-    """
+                id_col: str | None = None, method: str = "udf") -> DataFrame:
+    """Replace every token by its stem (see the module note for the methods)."""
     out_col = out_col or tokens_col
-    vocab = stem_vocabulary(token_df, tokens_col)
-    n = vocab.count()
-    if n <= MAP_LIMIT:
-        m = vocab.select(F.map_from_entries(F.collect_list(F.struct("term", "stem"))).alias("m")).scalar()
-        out = token_df.withColumn("_m", m)
-        out = out.withColumn(out_col, F.transform(tokens_col, lambda t: F.coalesce(F.try_element_at(F.col("_m"), t), t)))
-        return out.drop("_m")
+    if method == "udf":
+        f = F.pandas_udf(_stem_arrays, "array<string>")
+        return token_df.withColumn(out_col, f(F.col(tokens_col)))
     if id_col is None:
-        raise ValueError("a vocabulary this large needs id_col to map stems back by a join")
+        raise ValueError("method='join' needs id_col to collect stems back per document")
+    vocab = stem_vocabulary(token_df, tokens_col)
     ex = token_df.select(id_col, F.posexplode(tokens_col).alias("_pos", "term"))
     j = ex.join(vocab, "term")
     back = j.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("_pos", "stem"))).alias("_s"))
