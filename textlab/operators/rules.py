@@ -11,6 +11,7 @@ to ship to every task as one array (a scalar subquery, not a driver collect).
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,24 +52,69 @@ def rule_array(rules: DataFrame):
     return rules.select(F.transform(ordered, lambda r: r["pattern"]).alias("r")).scalar()
 
 
+def _automaton_matcher(patterns: list[str]):
+    """pandas function: best-ranked (lowest index) pattern occurring in each text."""
+
+    def match(texts: pd.Series) -> pd.Series:
+        import ahocorasick
+        if not patterns:
+            return pd.Series([None] * len(texts), index=texts.index, dtype="object")
+        a = ahocorasick.Automaton()
+        for i, p in enumerate(patterns):
+            if p:
+                a.add_word(p, i)
+        a.make_automaton()
+        out = []
+        for t in texts:
+            best = None
+            if t:
+                for _, i in a.iter(t):
+                    if best is None or i < best:
+                        best = i
+                        if i == 0:
+                            break
+            out.append(None if best is None else patterns[best])
+        return pd.Series(out, index=texts.index, dtype="object")
+    return match
+
+
 def predict_rules(docs: DataFrame, rules: DataFrame, tokens_col: str = "tokens",
-                  pred_col: str = "pred", explain_col: str | None = "matched_rule") -> DataFrame:
+                  pred_col: str = "pred", explain_col: str | None = "matched_rule",
+                  method: str = "auto") -> DataFrame:
     """pred = 1 if any rule is a substring of the normalised text, else 0.
 
     ``matched_rule`` is the best-ranked matching rule (null if none).  An
     empty rule set predicts 0 everywhere.
+
+    ``method``: ``"jvm"`` tests the rules in rank order with ``instr`` (cost
+    grows with rules x text length); ``"automaton"`` runs one Aho-Corasick
+    pass per text in a pandas UDF (cost grows with text length only; the rule
+    list, at most ``max_features`` strings, is shipped with the function);
+    ``"auto"`` picks the automaton when pyahocorasick is installed.
     """
-    # The text and the rule array are projected into columns first: the text
-    # must not be rebuilt once per rule inside the lambda, and a subquery may
-    # not sit inside a lambda.
-    out = docs.withColumn("_text", normalized_text(tokens_col)).withColumn(
-        "_rules", F.coalesce(rule_array(rules), F.array().cast("array<string>")))
-    text, arr = F.col("_text"), F.col("_rules")
-    # First matching rule in rank order; once found, later rules are not tested
-    # (And short-circuits on the null check).
-    first = F.aggregate(arr, F.lit(None).cast("string"),
-                        lambda acc, r: F.when(acc.isNull() & (F.instr(text, r) > 0), r).otherwise(acc))
-    out = out.withColumn("_first", first).withColumn(pred_col, F.col("_first").isNotNull().cast("int"))
+    if method == "auto":
+        try:
+            import ahocorasick  # noqa: F401
+            method = "automaton"
+        except ImportError:
+            method = "jvm"
+    if method == "automaton":
+        patterns = [r[0] for r in rules.orderBy("rank").select("pattern").collect()]
+        f = F.pandas_udf(_automaton_matcher(patterns), "string")
+        out = docs.withColumn("_first", f(normalized_text(tokens_col)))
+    else:
+        # The text and the rule array are projected into columns first: the
+        # text must not be rebuilt once per rule inside the lambda, and a
+        # subquery may not sit inside a lambda.
+        out = docs.withColumn("_text", normalized_text(tokens_col)).withColumn(
+            "_rules", F.coalesce(rule_array(rules), F.array().cast("array<string>")))
+        text, arr = F.col("_text"), F.col("_rules")
+        # First matching rule in rank order; once found, later rules are not
+        # tested (And short-circuits on the null check).
+        first = F.aggregate(arr, F.lit(None).cast("string"),
+                            lambda acc, r: F.when(acc.isNull() & (F.instr(text, r) > 0), r).otherwise(acc))
+        out = out.withColumn("_first", first)
+    out = out.withColumn(pred_col, F.col("_first").isNotNull().cast("int"))
     if explain_col:
         out = out.withColumnRenamed("_first", explain_col)
     return out.drop("_rules", "_text", "_first")
