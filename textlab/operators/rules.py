@@ -80,7 +80,7 @@ def _automaton_matcher(patterns: list[str]):
 
 def predict_rules(docs: DataFrame, rules: DataFrame, tokens_col: str = "tokens",
                   pred_col: str = "pred", explain_col: str | None = "matched_rule",
-                  method: str = "auto") -> DataFrame:
+                  method: str = "jvm") -> DataFrame:
     """pred = 1 if any rule is a substring of the normalised text, else 0.
 
     ``matched_rule`` is the best-ranked matching rule (null if none).  An
@@ -90,7 +90,10 @@ def predict_rules(docs: DataFrame, rules: DataFrame, tokens_col: str = "tokens",
     grows with rules x text length); ``"automaton"`` runs one Aho-Corasick
     pass per text in a pandas UDF (cost grows with text length only; the rule
     list, at most ``max_features`` strings, is shipped with the function);
-    ``"auto"`` picks the automaton when pyahocorasick is installed.
+    ``"auto"`` picks the automaton when pyahocorasick is installed.  Measured
+    at sf0.1 with ~800 frequent-word rules the JVM path is faster (it stops
+    at the first match, while the automaton reports every occurrence to
+    Python); the automaton pays off for long rule lists with rare matches.
     """
     if method == "auto":
         try:
