@@ -43,17 +43,17 @@ def ngrams(toks, n_min: int = 1, n_max: int = 1) -> Column:
         if n == 1:
             parts.append(t)
             continue
-        grams = F.transform(F.sequence(F.lit(1), F.size(t) - (n - 1)), _gram_at(t, n))
+        # n shifted views of the array zipped together: no per-position slice.
+        m = F.size(t) - (n - 1)
+        grams = F.slice(t, 1, m)
+        for j in range(1, n):
+            grams = F.zip_with(grams, F.slice(t, j + 1, m), _join_pair)
         parts.append(F.when(F.size(t) >= n, grams).otherwise(empty))
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
-def _gram_at(t: Column, n: int):
-    # A one-argument lambda: transform() passes the index as a second argument
-    # when the function takes two.
-    def at(i: Column) -> Column:
-        return F.array_join(F.slice(t, i, n), " ")
-    return at
+def _join_pair(a: Column, b: Column) -> Column:
+    return F.concat(a, F.lit(" "), b)
 
 
 def normalized_text(toks) -> Column:
