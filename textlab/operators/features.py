@@ -87,3 +87,22 @@ def tfidf(docs: DataFrame, id_col: str = "doc_id", tokens_col: str = "tokens",
         out = out.withColumn("weight", F.round("weight", digits))
     return out.select(id_col, "term", F.col("tf").cast("bigint").alias("tf"),
                       F.col("df").cast("bigint").alias("df"), "weight")
+
+
+def idf_table(docs: DataFrame, id_col: str = "doc_id", tokens_col: str = "tokens",
+              min_df: int = 1) -> DataFrame:
+    """(term, df, idf) fitted on ``docs``: idf = ln((1 + n) / (1 + df)) + 1."""
+    n_docs = docs.select(F.count(F.lit(1))).scalar()
+    dfs = (docs.select(id_col, F.explode(F.array_distinct(tokens_col)).alias("term"))
+           .groupBy("term").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") >= min_df))
+    return dfs.withColumn("idf", F.log((F.lit(1) + n_docs) / (F.lit(1) + F.col("df"))) + F.lit(1.0))
+
+
+def tfidf_apply(docs: DataFrame, idf: DataFrame, id_col: str = "doc_id", tokens_col: str = "tokens") -> DataFrame:
+    """(doc, term, tf, weight) of any documents with a fitted idf table;
+    terms outside the table are dropped; L2-normalised per document."""
+    tf = (docs.select(id_col, F.explode(tokens_col).alias("term"))
+          .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
+    j = tf.join(idf.select("term", "idf"), "term").withColumn("raw", F.col("tf") * F.col("idf"))
+    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(id_col)))
+    return j.select(id_col, "term", F.col("tf").cast("bigint").alias("tf"), (F.col("raw") / norm).alias("weight"))
