@@ -9,6 +9,7 @@ and the multiset of rows (floats rounded to 6 digits, arrays as tuples).
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 
@@ -44,6 +45,8 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return (1, "nan")
+        if os.environ.get("ORACLE_STRICT"):
+            return (1, repr(v + 0.0))
         return (1, f"{round(v, 6):.6f}")
     if isinstance(v, (list, tuple)):
         return (2, tuple(_norm(x) for x in v))
