@@ -38,15 +38,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder of the cluster (``spark.checkpoint.dir``).
 
-    On a cluster the setting names shared storage and is used as is.  Only when
-    it is unset (local tests) a private folder is created and registered.
+    On a cluster the setting names shared storage and is used as is.  Only in
+    local mode, when it is unset (tests), a private folder is created; a
+    cluster without the setting is an error (a machine-local folder would not
+    be readable by other executors).
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS/S3) for this cluster")
         configured = tempfile.mkdtemp(prefix="textlab-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
