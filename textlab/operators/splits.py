@@ -42,7 +42,11 @@ def exact_rank(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[st
     w = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     # A group spanning several partitions: rows before it in earlier partitions.
     offsets = blocks.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0))).drop("_cnt")
-    ranked = s.join(F.broadcast(offsets), ["_pid", *g])
+    # Broadcast only a checked size (partitions x groups rows); beyond it a
+    # regular join on (partition, group).
+    if blocks.count() <= MAX_OFFSET_ROWS:
+        offsets = F.broadcast(offsets)
+    ranked = s.join(offsets, ["_pid", *g])
     return ranked.withColumn(out_col, (F.col("_mid") - F.col("_first") + F.col("_off") + 1).cast("bigint")) \
         .drop("_pid", "_mid", "_first", "_off")
 
