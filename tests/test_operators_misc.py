@@ -122,3 +122,14 @@ def test_rule_scoring_methods_agree(spark, sf_dir):
     empty = rules.limit(0)
     assert R.predict_rules(docs, empty, method="automaton").filter("pred = 1").count() == 0
     assert R.predict_rules(docs, empty, method="jvm").filter("pred = 1").count() == 0
+
+
+def test_idf_fit_apply_equals_tfidf(spark):
+    from textlab.operators.features import idf_table, term_freqs, tfidf, tfidf_apply
+    rows = [(1, ["a", "b", "a"]), (2, ["b", "c"]), (3, []), (4, ["a", "a", "a", "d"])]
+    df = spark.createDataFrame(rows, "doc_id long, tokens array<string>")
+    tf = {(r.doc_id, r.term): r.tf for r in term_freqs(df).collect()}
+    assert tf == {(1, "a"): 2, (1, "b"): 1, (2, "b"): 1, (2, "c"): 1, (4, "a"): 3, (4, "d"): 1}
+    one = {(r.doc_id, r.term): round(r.weight, 9) for r in tfidf(df, digits=None).collect()}
+    two = {(r.doc_id, r.term): round(r.weight, 9) for r in tfidf_apply(df, idf_table(df)).collect()}
+    assert one == two

@@ -9,9 +9,11 @@ Scale notes
 * Vocabularies are top-k cuts; the per-class variant uses one
   ``orderBy().limit()`` per class (partial top-k in every task, then a merge of
   k rows per task), never a window that funnels a whole class into one task.
-* TF-IDF stays sparse (doc, term, tf, weight); the document-frequency side of
-  the join is small after aggregation and AQE turns it into a broadcast when
-  its measured size allows, a sort-merge join otherwise.
+* TF-IDF stays sparse (doc, term, tf, weight).  Term frequencies are counted
+  inside each row (sorted tokens, run boundaries, run lengths), so no shuffle
+  is needed for them; the document-frequency side of the join is small after
+  aggregation and AQE turns it into a broadcast when its measured size
+  allows, a sort-merge join otherwise.
 """
 
 from __future__ import annotations
@@ -67,6 +69,21 @@ def vocabulary(stats: DataFrame, min_df: int = 1, max_features: int | None = Non
     return out
 
 
+def term_freqs(docs: DataFrame, id_col: str = "doc_id", tokens_col: str = "tokens") -> DataFrame:
+    """(doc, term, tf) counted inside each row: sort the tokens, mark where a
+    run of equal tokens starts, emit (token, run length) -- no shuffle."""
+    s = docs.select(id_col, F.array_sort(tokens_col).alias("_s"))
+    srt = F.col("_s")
+    n = F.size(srt)
+    starts = F.when(n > 0, F.filter(F.sequence(F.lit(1), n), lambda i: (i == 1) | (
+        F.element_at(srt, i) != F.element_at(srt, i - 1)))).otherwise(F.array().cast("array<int>"))
+    s = s.withColumn("_b", starts)
+    b = F.col("_b")
+    runs = F.transform(b, lambda x, j: F.struct(F.element_at(srt, x).alias("term"),
+                                                (F.coalesce(F.try_element_at(b, j + 2), n + 1) - x).alias("tf")))
+    return s.select(id_col, F.inline(runs))
+
+
 def tfidf(docs: DataFrame, id_col: str = "doc_id", tokens_col: str = "tokens",
           min_df: int = 1, digits: int | None = 6) -> DataFrame:
     """Smooth TF-IDF, L2-normalised per document, long form.
@@ -75,8 +92,7 @@ def tfidf(docs: DataFrame, id_col: str = "doc_id", tokens_col: str = "tokens",
     weight = tf * idf / ||tf * idf||_2 over the document's kept terms.
     """
     n_docs = docs.select(F.count(F.lit(1))).scalar()
-    tf = (docs.select(id_col, F.explode(tokens_col).alias("term"))
-          .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
+    tf = term_freqs(docs, id_col, tokens_col)
     dfs = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") >= min_df)
     joined = tf.join(dfs, "term")
     w = F.col("tf") * (F.log((F.lit(1) + n_docs) / (F.lit(1) + F.col("df"))) + F.lit(1.0))
@@ -101,8 +117,7 @@ def idf_table(docs: DataFrame, id_col: str = "doc_id", tokens_col: str = "tokens
 def tfidf_apply(docs: DataFrame, idf: DataFrame, id_col: str = "doc_id", tokens_col: str = "tokens") -> DataFrame:
     """(doc, term, tf, weight) of any documents with a fitted idf table;
     terms outside the table are dropped; L2-normalised per document."""
-    tf = (docs.select(id_col, F.explode(tokens_col).alias("term"))
-          .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
+    tf = term_freqs(docs, id_col, tokens_col)
     j = tf.join(idf.select("term", "idf"), "term").withColumn("raw", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(id_col)))
     return j.select(id_col, "term", F.col("tf").cast("bigint").alias("tf"), (F.col("raw") / norm).alias("weight"))
