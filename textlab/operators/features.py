@@ -29,18 +29,17 @@ from textlab.functions.tokens import ngrams
 def term_stats(docs: DataFrame, tokens_col: str = "tokens",
                group_cols: Sequence[str] = (), n_min: int = 1,
                n_max: int = 1) -> DataFrame:
-    """(group..., term, total, df): occurrences and documents per term."""
+    """(group..., term, total, df): occurrences and documents per term.
+
+    Each document contributes one (term, count) row per distinct term,
+    counted inside the row; one aggregation (map-side combined) sums them.
+    """
     g = list(group_cols)
-    grams = ngrams(tokens_col, n_min, n_max)
-    marked = F.concat(
-        F.transform(grams, lambda x: F.struct(x.alias("term"), F.lit(1).alias("o"), F.lit(0).alias("d"))),
-        F.transform(F.array_distinct(grams),
-                    lambda x: F.struct(x.alias("term"), F.lit(0).alias("o"), F.lit(1).alias("d"))),
-    )
-    exploded = docs.select(*g, F.inline(marked))
-    return exploded.groupBy(*g, "term").agg(
-        F.sum("o").cast("bigint").alias("total"),
-        F.sum("d").cast("bigint").alias("df"),
+    grams = docs.select(*g, ngrams(tokens_col, n_min, n_max).alias("_g"))
+    runs = term_freqs(grams, g, "_g")
+    return runs.groupBy(*g, "term").agg(
+        F.sum("tf").cast("bigint").alias("total"),
+        F.count(F.lit(1)).cast("bigint").alias("df"),
     )
 
 
@@ -69,10 +68,11 @@ def vocabulary(stats: DataFrame, min_df: int = 1, max_features: int | None = Non
     return out
 
 
-def term_freqs(docs: DataFrame, id_col: str = "doc_id", tokens_col: str = "tokens") -> DataFrame:
-    """(doc, term, tf) counted inside each row: sort the tokens, mark where a
-    run of equal tokens starts, emit (token, run length) -- no shuffle."""
-    s = docs.select(id_col, F.array_sort(tokens_col).alias("_s"))
+def term_freqs(docs: DataFrame, id_col: str | Sequence[str] = "doc_id", tokens_col: str = "tokens") -> DataFrame:
+    """(keys..., term, tf) counted inside each row: sort the tokens, mark where
+    a run of equal tokens starts, emit (token, run length) -- no shuffle."""
+    keys = [id_col] if isinstance(id_col, str) else list(id_col)
+    s = docs.select(*keys, F.array_sort(tokens_col).alias("_s"))
     srt = F.col("_s")
     n = F.size(srt)
     starts = F.when(n > 0, F.filter(F.sequence(F.lit(1), n), lambda i: (i == 1) | (
@@ -81,7 +81,7 @@ def term_freqs(docs: DataFrame, id_col: str = "doc_id", tokens_col: str = "token
     b = F.col("_b")
     runs = F.transform(b, lambda x, j: F.struct(F.element_at(srt, x).alias("term"),
                                                 (F.coalesce(F.try_element_at(b, j + 2), n + 1) - x).alias("tf")))
-    return s.select(id_col, F.inline(runs))
+    return s.select(*keys, F.inline(runs))
 
 
 def tfidf(docs: DataFrame, id_col: str = "doc_id", tokens_col: str = "tokens",
