@@ -19,6 +19,9 @@ from textlab.functions.metrics import binary_metrics
 from textlab.functions.tokens import normalized_text
 from textlab.operators.features import term_stats, vocabulary
 
+# Largest rule list shipped to Python workers by the automaton matcher.
+MAX_RULES = 1_000_000
+
 
 def mine_rules(docs: DataFrame, label_col: str = "label", tokens_col: str = "tokens",
                min_df: int = 3, max_features: int = 1000, threshold: float = 0.94,
@@ -102,7 +105,10 @@ def predict_rules(docs: DataFrame, rules: DataFrame, tokens_col: str = "tokens",
         except ImportError:
             method = "jvm"
     if method == "automaton":
-        patterns = [r[0] for r in rules.orderBy("rank").select("pattern").collect()]
+        # Bounded: a mined rule set has at most max_features rows.
+        patterns = [r[0] for r in rules.orderBy("rank").select("pattern").limit(MAX_RULES + 1).collect()]
+        if len(patterns) > MAX_RULES:
+            raise ValueError(f"more than {MAX_RULES} rules: use method='jvm'")
         f = F.pandas_udf(_automaton_matcher(patterns), "string")
         out = docs.withColumn("_first", f(normalized_text(tokens_col)))
     else:
