@@ -8,7 +8,6 @@ bounded group; batch membership comes from an exact distributed rank.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
