@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from textlab.functions.hashing import h60, hash_key
 from textlab.operators.splits import exact_rank
+from textlab.session import checkpoint_dir
 
 EPS = 1e-9
 
@@ -65,6 +66,10 @@ def knn(points: DataFrame, id_col: str, vec_col: str, k: int = 10, n_pivots: int
     reps = reps.withColumn("_pd", F.transform("_piv", lambda p: _dist(F.col("_v"), p))).drop("_piv")
     reps = reps.withColumn("_r", F.array_min("_pd"))
     reps = reps.withColumn("cell", (F.array_position("_pd", F.col("_r")) - 1).cast("int"))
+    # reps feeds five branches below: materialise it once (shared checkpoint
+    # folder) instead of recomputing copies, pivots and pivot distances.
+    checkpoint_dir(points.sparkSession)
+    reps = reps.checkpoint(eager=True)
     # 3. per-cell radius bounds (k+1 smallest radii, bounded per cell)
     top = reps.select("cell", "_r", "rep", "mult").withColumn(
         "_cr", F.row_number().over(Window.partitionBy("cell").orderBy("_r", "rep"))).filter(F.col("_cr") <= k + 1)
