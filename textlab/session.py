@@ -14,6 +14,18 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+def _default_driver_memory() -> str:
+    """60 % of the machine's memory, between 2 GB and 16 GB (local mode: the
+    driver heap is all of Spark's memory)."""
+    try:
+        with open("/proc/meminfo") as fh:
+            kb = next(int(line.split()[1]) for line in fh if line.startswith("MemTotal:"))
+        gb = int(kb / (1024 * 1024) * 0.6)
+    except (OSError, StopIteration, ValueError):
+        gb = 4
+    return f"{max(2, min(16, gb))}g"
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "textlab") -> SparkSession:
     builder = (
@@ -27,7 +39,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("TEXTLAB_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("TEXTLAB_DRIVER_MEMORY", _default_driver_memory()))
         .config("spark.sql.optimizer.windowGroupLimitThreshold", "5000")
     )
     spark = builder.getOrCreate()
