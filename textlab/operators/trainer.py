@@ -4,7 +4,9 @@ Spark ML's MLP has no dropout, no loss choice and no sample weights; the
 reference's network has all three.  This trainer keeps the data distributed
 and only the model on the driver:
 
-* the sparse feature rows (indices, values, label, weight) are persisted once;
+* the sparse feature rows (indices, values, label, weight) are persisted
+  once, in at most one partition per task slot (each partition sends one
+  model-sized partial gradient per epoch);
 * every epoch the weights are broadcast, ``mapInPandas`` computes the
   partial gradient of each partition with numpy (sparse first layer, ReLU
   hidden layers, inverted dropout, sigmoid output, weighted BCE or focal
@@ -25,7 +27,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-CHUNK = 1 << 18
+# Gradient chunk (doubles): a reduce group holds partitions x CHUNK values.
+CHUNK = 1 << 15
 
 
 def sparse_rows(tfidf_long: DataFrame, labels: DataFrame, id_col: str, label_col: str,
@@ -127,7 +130,13 @@ def train_mlp(rows: DataFrame, n_features: int, hidden: Sequence[int] = (192,),
     """Full-batch AdamW training; returns {'params': [...], 'losses': [...]}."""
     spark = rows.sparkSession
     sc = spark.sparkContext
-    data = rows.select("indices", "values", "y", "w").persist(StorageLevel.MEMORY_AND_DISK)
+    # One partial gradient (model-sized) per partition per epoch: keep at most
+    # one partition per task slot (coalesce, no shuffle).
+    data = rows.select("indices", "values", "y", "w")
+    slots = sc.defaultParallelism
+    if data.rdd.getNumPartitions() > slots:
+        data = data.coalesce(slots)
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
     n_total = data.count()
     params = init_params(n_features, hidden, seed)
     m = [np.zeros_like(p) for p in params]
@@ -166,7 +175,9 @@ def train_mlp(rows: DataFrame, n_features: int, hidden: Sequence[int] = (192,),
 
         parts = data.mapInPandas(partial, "chunk int, loss double, g binary")
         summed = parts.groupBy("chunk").applyInPandas(add, "chunk int, loss double, g binary").collect()
-        bc.unpersist()
+        # destroy, not unpersist: the driver would otherwise keep every
+        # epoch's model-sized broadcast.
+        bc.destroy()
         summed = sorted(summed, key=lambda r: r["chunk"])
         grad = _unflatten(np.concatenate([np.frombuffer(r["g"], dtype=np.float64) for r in summed]), params)
         losses.append(sum(r["loss"] for r in summed) / n_total)
