@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from textlab.llm.pii_anchors import op9_pii_anchors
 from textlab.llm.quality_nbsvm import op10_quality_nbsvm
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op9_pii_anchors": op9_pii_anchors,
     "op10_quality_nbsvm": op10_quality_nbsvm,
 }
 
