@@ -2,72 +2,80 @@
 
 Byte-level BPE cuts a text before its merges; a single blank between two characters that are not white space always
 starts a new part.  So a text's ids are those of its blank-separated words put together, and words repeat: each worker
-keeps the ids of words it has met (a bounded memo) and asks the tokenizer only for new ones.  Where white space touches
-a blank the rule does not hold, and the whole text goes to the tokenizer.  Either way the ids are the tokenizer's own.
+keeps the ids of words it has met (a bounded memo) and hands only new ones to the library's BPE model.  Where white
+space touches a blank the rule does not hold, and the whole text goes to the tokenizer.  Either way the ids are the
+tokenizer's own.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import regex
 from tokenizers import Tokenizer
 
 MEMO_WORDS = 400_000
 
+#: How byte-level BPE cuts a text before merging (fixed value).
+_CUT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The printable character that stands for each byte: visible Latin-1 ones for themselves, the others in order
+    from code point 256."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    out = {b: chr(b) for b in visible}
+    hidden = [b for b in range(256) if b not in out]
+    return out | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+_LETTERS = _byte_letters()
+
 
 def _bytes(ids) -> bytes:
     return np.array(ids, dtype="<u4").tobytes()
 
 
 class WordIds:
-    """``ids(texts)``: for each text its little-endian unsigned 32-bit ids as bytes."""
+    """``ids(text)``: its little-endian unsigned 32-bit ids as bytes."""
 
     def __init__(self, vocabulary: str, memo_words: int = MEMO_WORDS):
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
-        pieces = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.opens = np.zeros(max(pieces.values()) + 1, dtype=bool)  # ids that begin with a blank
-        self.opens[[i for piece, i in pieces.items() if piece.startswith("\u0120")]] = True
+        self.model = self.tokenizer.model
         self.memo: dict[str, bytes | None] = {}
         self.firsts: dict[str, bytes | None] = {}
         self.memo_words = memo_words
 
-    def _whole(self, text: str) -> bytes:
-        return _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def _learn(self, words: set[str]) -> None:
-        """Put the ids of blank + word into the memo; None for a word that white space begins or ends."""
-        if len(self.memo) + len(words) > self.memo_words:
-            self.memo.clear()
-        inner = [w for w in words if w and not (w[0].isspace() or w[-1].isspace())]
-        self.memo.update(dict.fromkeys(words))
-        if not inner:
-            return
-        ids = np.array(self.tokenizer.encode(" " + " ".join(inner), add_special_tokens=False).ids, dtype="<u4")
-        cuts = np.append(np.flatnonzero(self.opens[ids]), len(ids)) * 4
-        if len(cuts) != len(inner) + 1:
-            raise ValueError("the vocabulary does not cut texts at blanks")
-        raw = ids.tobytes()
-        self.memo.update((w, raw[a:b]) for w, a, b in zip(inner, cuts.tolist(), cuts[1:].tolist()))
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        split = [t.split(" ") for t in texts]
-        words: set[str] = set()
-        for parts in split:
-            words.update(parts[1:])
-        if not words <= self.memo.keys():
-            if len(self.memo) + len(words) > self.memo_words:
-                self.memo.clear()
-            self._learn(words - self.memo.keys())
-        out = []
-        for text, parts in zip(texts, split):
-            head = parts[0]
-            if head not in self.firsts:
-                if len(self.firsts) >= self.memo_words // 8:
-                    self.firsts.clear()
-                self.firsts[head] = self._whole(head) if head and not (head[0].isspace() or head[-1].isspace()) else None
-            found = [self.firsts[head], *map(self.memo.get, parts[1:])]
-            out.append((self._whole(text) if text else b"") if None in found else b"".join(found))
-        return out
+    def _word(self, word: str, lead: str) -> bytes | None:
+        """Ids of ``lead + word``; None for a word that white space begins or ends."""
+        if not word or word[0].isspace() or word[-1].isspace():
+            return None
+        merge = self.model.tokenize
+        return _bytes([token.id for part in _CUT.findall(lead + word)
+                       for token in merge(part.encode().decode("latin-1").translate(_LETTERS))])
+
+    def ids(self, text: str) -> bytes:
+        if not text:
+            return b""
+        words = text.split(" ")
+        memo, head = self.memo, words[0]
+        if head not in self.firsts:
+            if len(self.firsts) >= self.memo_words // 8:
+                self.firsts.clear()
+            self.firsts[head] = self._word(head, "")
+        rest = words[1:]
+        new = [w for w in rest if w not in memo]
+        if new:
+            if len(memo) + len(new) > self.memo_words:
+                memo.clear()
+                new = rest
+            for w in new:
+                if w not in memo:
+                    memo[w] = self._word(w, " ")
+        found = [self.firsts[head], *[memo[w] for w in rest]]
+        if None in found:
+            return _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        return b"".join(found)
 
 
 _WORKER: dict[int, WordIds] = {}
