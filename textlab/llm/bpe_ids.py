@@ -9,11 +9,13 @@ tokenizer's own.
 
 from __future__ import annotations
 
-import numpy as np
+import sys
+from array import array
+
 import regex
 from tokenizers import Tokenizer
 
-MEMO_WORDS = 400_000
+MEMO_WORDS = 1_200_000  # of about 250 bytes each
 
 #: How byte-level BPE cuts a text before merging (fixed value).
 _CUT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -31,8 +33,11 @@ def _byte_letters() -> dict[int, str]:
 _LETTERS = _byte_letters()
 
 
-def _bytes(ids) -> bytes:
-    return np.array(ids, dtype="<u4").tobytes()
+def _bytes(ids: list[int]) -> bytes:
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
 
 
 class WordIds:
@@ -50,31 +55,36 @@ class WordIds:
         """Ids of ``lead + word``; None for a word that white space begins or ends."""
         if not word or word[0].isspace() or word[-1].isspace():
             return None
-        merge = self.model.tokenize
-        return _bytes([token.id for part in _CUT.findall(lead + word)
-                       for token in merge(part.encode().decode("latin-1").translate(_LETTERS))])
+        merge, ids = self.model.tokenize, []
+        for part in _CUT.findall(lead + word):
+            if part.isascii() and part.isprintable():
+                part = part.replace(" ", _LETTERS[32])
+            else:
+                part = part.encode().decode("latin-1").translate(_LETTERS)
+            ids += [token.id for token in merge(part)]
+        return _bytes(ids)
 
     def ids(self, text: str) -> bytes:
         if not text:
             return b""
         words = text.split(" ")
-        memo, head = self.memo, words[0]
+        memo = self.memo
+        found = list(map(memo.get, words))
+        head = words[0]
         if head not in self.firsts:
             if len(self.firsts) >= self.memo_words // 8:
                 self.firsts.clear()
             self.firsts[head] = self._word(head, "")
-        rest = words[1:]
-        new = [w for w in rest if w not in memo]
-        if new:
-            if len(memo) + len(new) > self.memo_words:
-                memo.clear()
-                new = rest
-            for w in new:
-                if w not in memo:
-                    memo[w] = self._word(w, " ")
-        found = [self.firsts[head], *[memo[w] for w in rest]]
+        found[0] = self.firsts[head]
         if None in found:
-            return _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+            for i, ids in enumerate(found):
+                if ids is None:
+                    ids = self._word(words[i], " ") if i else None
+                    if ids is None:  # white space touches a blank, or begins or ends the text
+                        return _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+                    if len(memo) >= self.memo_words:
+                        memo.clear()
+                    found[i] = memo[words[i]] = ids
         return b"".join(found)
 
 

@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from textlab.llm.near_dups import op7_near_dups
 from textlab.llm.packing_swaps import op5_packing_swaps
 from textlab.llm.pii_anchors import op9_pii_anchors
 from textlab.llm.quality_nbsvm import op10_quality_nbsvm
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_near_dups": op7_near_dups,
     "op5_packing_swaps": op5_packing_swaps,
     "op9_pii_anchors": op9_pii_anchors,
     "op10_quality_nbsvm": op10_quality_nbsvm,
