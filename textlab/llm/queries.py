@@ -6,16 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from textlab.llm.fingerprints_oph import op2_fingerprints_oph
 from textlab.llm.near_dups import op7_near_dups
 from textlab.llm.packing_swaps import op5_packing_swaps
 from textlab.llm.pii_anchors import op9_pii_anchors
 from textlab.llm.quality_nbsvm import op10_quality_nbsvm
 from textlab.llm.repeats_bwt import op3_repeats_bwt
+from textlab.llm.shards_histogram import op6_shards_histogram
 from textlab.llm.toxicity_gru import op1_toxicity_gru
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity_gru": op1_toxicity_gru,
+    "op2_fingerprints_oph": op2_fingerprints_oph,
     "op3_repeats_bwt": op3_repeats_bwt,
+    "op6_shards_histogram": op6_shards_histogram,
     "op7_near_dups": op7_near_dups,
     "op5_packing_swaps": op5_packing_swaps,
     "op9_pii_anchors": op9_pii_anchors,
