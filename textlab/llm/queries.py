@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from textlab.llm.fingerprints_oph import op2_fingerprints_oph
+from textlab.llm.merge_dropout import op8_merge_dropout
 from textlab.llm.near_dups import op7_near_dups
 from textlab.llm.packing_swaps import op5_packing_swaps
 from textlab.llm.pii_anchors import op9_pii_anchors
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_repeats_bwt": op3_repeats_bwt,
     "op6_shards_histogram": op6_shards_histogram,
     "op7_near_dups": op7_near_dups,
+    "op8_merge_dropout": op8_merge_dropout,
     "op5_packing_swaps": op5_packing_swaps,
     "op9_pii_anchors": op9_pii_anchors,
     "op10_quality_nbsvm": op10_quality_nbsvm,
