@@ -69,28 +69,35 @@ class PieceTables:
         self.pair_piece = np.array([m[2] for m in merges], dtype=np.int64)
         self.blank_id = self.normal[BLANK]
 
-    def symbols(self, word: str) -> list[int]:
-        """First symbols of a word that begins with blanks, given as ordinary blanks."""
-        out: list[int] = []
-        for c in word:
-            if c == " ":
-                out.append(self.blank_id)
-            elif c in self.single:
-                out.append(self.single[c])
-            else:
-                out += [self.byte_ids[b] for b in c.encode()]
-        return out
-
-
-def merge_words(tables: PieceTables, words: list[list[int]], keys: np.ndarray, rate: float) -> list[np.ndarray]:
-    """Piece ids of each word (given as symbols); ``keys``: the words' hash keys for dropout."""
-    sizes = np.array([len(w) for w in words], dtype=np.int64)
-    symbol = np.array([s for w in words for s in w], dtype=np.int64)
-    word = np.repeat(np.arange(len(words)), sizes)
+        self.of_code = np.full(0x110000, -1, dtype=np.int32)  # symbol of each character that is a piece
+        self.of_code[[ord(c) for c in self.single]] = list(self.single.values())
+        self.of_code[ord(" ")] = self.blank_id
+
+    def symbols(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """First symbols of all words, one after the other (blanks as blank marks), and each word's number of them."""
+        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        word = np.repeat(np.arange(len(words)), [len(w) for w in words])
+        symbol = self.of_code[codes]
+        other = np.flatnonzero(symbol < 0)
+        if len(other):
+            raw = [chr(c).encode("utf-8", "surrogatepass") for c in codes[other].tolist()]
+            times = np.ones(len(codes), dtype=np.int64)
+            times[other] = [len(r) for r in raw]
+            symbol, word = np.repeat(symbol, times), np.repeat(word, times)
+            symbol[symbol < 0] = [self.byte_ids[b] for r in raw for b in r]
+        return symbol.astype(np.int64), np.bincount(word, minlength=len(words))
+
+
+def merge_words(tables: PieceTables, symbol: np.ndarray, sizes: np.ndarray, keys: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
+    """Piece ids of all words (given as symbols, ``sizes`` a word), one after the other, and the words' offsets (n + 1).
+
+    ``keys``: the words' hash keys for dropout.
+    """
+    word = np.repeat(np.arange(len(sizes)), sizes)
     begin = np.arange(len(symbol)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     end = begin + 1
     limit = np.uint64(min(int(rate * 2.0 ** 64), (1 << 64) - 1))
-    done: list[np.ndarray] = [np.zeros(0, dtype=np.int64)] * len(words)
+    finished: list[tuple[np.ndarray, np.ndarray]] = []
 
     def ranks(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank of the candidate merge of symbols at ``left`` and ``right`` (_NONE: none, or dropped), and its piece."""
@@ -104,28 +111,33 @@ def merge_words(tables: PieceTables, words: list[list[int]], keys: np.ndarray, r
 
     index = np.arange(len(symbol))
     rank, piece = ranks(index[:-1], index[1:]) if len(symbol) > 1 else (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))
-    rank, piece = np.append(rank, _NONE), np.append(piece, 0)
+    rank, piece = np.append(rank, _NONE)[:len(symbol)], np.append(piece, 0)[:len(symbol)]
     while len(symbol):
         first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
-        best = np.minimum.reduceat(rank, first)
-        length = np.diff(np.append(first, len(word)))
-        over = best == _NONE
-        for k in np.flatnonzero(over).tolist():
-            done[int(word[first[k]])] = symbol[first[k]:first[k] + length[k]]
-        going = np.repeat(~over, length)
-        here = np.flatnonzero((rank == np.repeat(best, length)) & going)
-        here = here[np.append(True, word[here[1:]] != word[here[:-1]])] if len(here) else here
-        symbol[here], end[here] = piece[here], end[here + 1] if len(here) else end[here]
-        going[here + 1] = False
-        # Places after the cut; the merged symbols' candidates with both neighbours are new.
-        at = np.cumsum(going) - 1
-        rank[here] = _NONE
+        best = np.repeat(np.minimum.reduceat(rank, first), np.diff(np.append(first, len(word))))
+        going = best < _NONE
+        if not going.all():
+            finished.append((word[~going], symbol[~going]))
+        here = np.flatnonzero((rank == best) & going)
+        if len(here):
+            here = here[np.append(True, word[here[1:]] != word[here[:-1]])]  # the leftmost
+            symbol[here], end[here] = piece[here], end[here + 1]
+            going[here + 1] = False
+        at = np.cumsum(going) - 1  # places after the cut
         symbol, word, begin, end, rank, piece = (x[going] for x in (symbol, word, begin, end, rank, piece))
         merged = at[here]
-        fresh = np.unique(np.concatenate([merged[merged > 0] - 1, merged[merged < len(symbol) - 1]]))
+        rank[merged] = _NONE
+        # The merged symbols' candidates with both neighbours are new.
+        stale = np.zeros(len(symbol) + 1, dtype=bool)
+        stale[merged], stale[merged - 1] = True, True
+        fresh = np.flatnonzero(stale[:max(len(symbol) - 1, 0)])
         if len(fresh):
             rank[fresh], piece[fresh] = ranks(fresh, fresh + 1)
-    return done
+    if not finished:
+        return np.zeros(0, dtype=np.int32), np.zeros(len(sizes) + 1, dtype=np.int64)
+    owner, ids = (np.concatenate(x) for x in zip(*finished))
+    order = np.argsort(owner, kind="stable")
+    return ids[order].astype("<i4"), np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(sizes)))])
 
 
 class Encoder:
@@ -158,13 +170,15 @@ class Encoder:
             memo = self.memos.setdefault(v, {})
             new.update(dict.fromkeys((v, w) for w in parts if w not in memo))
         todo = list(new)
-        for at in range(0, len(todo), 50_000):
-            some = todo[at:at + 50_000]
+        for at in range(0, len(todo), 10_000):
+            some = todo[at:at + 10_000]
             keys = np.array([zlib.crc32(w.encode()) << 32 | zlib.adler32(w.encode()) for _, w in some], dtype=np.uint64)
             variant = np.array([v for v, _ in some], dtype=np.uint64)
             keys = mix64(keys + mix64(variant + np.uint64(self.seed * 1_000_003 % (1 << 64))))
-            for (v, w), ids in zip(some, merge_words(self.tables, [self.tables.symbols(" " + w) for _, w in some], keys, self.rate)):
-                self.memos[v][w] = ids.astype("<i4").tobytes()
+            ids, offsets = merge_words(self.tables, *self.tables.symbols([" " + w for _, w in some]), keys, self.rate)
+            raw, bounds = ids.tobytes(), (offsets * 4).tolist()
+            for (v, w), a, b in zip(some, bounds, bounds[1:]):
+                self.memos[v][w] = raw[a:b]
         return [b"".join(map(self.memos[v].__getitem__, parts)) for parts, v in zip(split, variants)]
 
 
