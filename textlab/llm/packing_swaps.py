@@ -17,6 +17,7 @@ needs; an empty table gives an empty result; other columns do not enter.
 
 from __future__ import annotations
 
+import heapq
 import math
 import zlib
 from collections.abc import Iterator
@@ -86,80 +87,102 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-class _Under:
-    """Underfull bins as flat arrays, rebuilt when a bin's pieces change."""
+class _Offers:
+    """For each token count the fullest use of an exchange partner: what bins would give back, by how much room they have.
+
+    ``best[n]`` is n plus the greatest room of a bin that can give back n tokens, so a bin that receives g tokens and
+    gives back n fits if ``best[n] >= g``.  Entries of bins that have changed since are dropped when they come up.
+    """
+
+    def __init__(self, capacity: int):
+        self.heaps: list[list[tuple]] = [[] for _ in range(capacity + 1)]
+        self.best = np.full(capacity + 1, -1, dtype=np.int64)
+
+    def add(self, tokens: int, room: int, bin_: int, version: int, items: list[int]) -> None:
+        heapq.heappush(self.heaps[tokens], (-room, bin_, version, items))
+        self.best[tokens] = max(self.best[tokens], tokens + room)
+
+    def top(self, tokens: int, version: list[int]) -> tuple | None:
+        """The valid entry with most room."""
+        heap = self.heaps[tokens]
+        while heap and version[heap[0][1]] != heap[0][2]:
+            heapq.heappop(heap)
+        self.best[tokens] = tokens - heap[0][0] if heap else -1
+        return heap[0] if heap else None
+
+
+class _Search:
+    """Exchanges between underfull bins."""
 
     def __init__(self, bins: list[list[int]], lengths: np.ndarray, capacity: int):
-        self.bins, self.lengths, self.capacity = bins, lengths, capacity
-        self.fill = np.array([sum(lengths[i] for i in b) for b in bins], dtype=np.int64)
-
-    def gains(self, source: int) -> tuple[int, tuple] | None:
-        """The exchange that takes most tokens out of ``source`` into a bin at least as full: (tokens, exchange)."""
-        out = self.lengths[self.bins[source]]
-        order = np.flatnonzero((self.fill >= self.fill[source]) & (self.fill < self.capacity) & (self.fill > 0))
-        order = order[order != source]
-        if not len(order) or not len(out):
-            return None
-        room = self.capacity - self.fill[order]
-        sizes = [len(self.bins[b]) for b in order]
-        flat = np.concatenate([self.bins[b] for b in order]).astype(np.int64)
-        owner = np.repeat(np.arange(len(order)), sizes)
-        single, single_room = self.lengths[flat], room[owner]
-        first = np.concatenate([[0], np.cumsum(sizes)])
-        pair_a, pair_b = [], []
-        for k, n in enumerate(sizes):
-            a, b = np.triu_indices(n, 1)
-            pair_a.append(a + first[k])
-            pair_b.append(b + first[k])
-        pair_a, pair_b = np.concatenate(pair_a).astype(np.int64), np.concatenate(pair_b).astype(np.int64)
-        double, double_room, double_owner = single[pair_a] + single[pair_b], single_room[pair_a], owner[pair_a]
-        best: tuple[int, tuple] | None = None
-
-        def offer(delta: np.ndarray, limit: np.ndarray, make) -> None:
-            nonlocal best
-            delta = np.where((delta > 0) & (delta <= limit), delta, 0)
-            if len(delta) and (k := int(delta.argmax())) >= 0 and delta[k] and (best is None or delta[k] > best[0]):
-                best = (int(delta[k]), make(k))
-
-        def chosen(at: np.ndarray) -> list[int]:
-            return [int(flat[k]) for k in at]
-
-        for i, a in enumerate(out):
-            mine = [self.bins[source][i]]
-            offer(np.full(len(order), a), room, lambda k: (mine, int(order[k]), []))
-            offer(a - single, single_room, lambda k: (mine, int(order[owner[k]]), chosen([k])))
-            offer(a - double, double_room, lambda k: (mine, int(order[double_owner[k]]), chosen([pair_a[k], pair_b[k]])))
-            for j in range(i + 1, len(out)):
-                two = [self.bins[source][i], self.bins[source][j]]
-                offer(a + out[j] - single, single_room, lambda k: (two, int(order[owner[k]]), chosen([k])))
-        return best
-
-    def apply(self, source: int, exchange: tuple) -> None:
-        give, target, take = exchange
-        self.bins[source] = [i for i in self.bins[source] if i not in give] + take
-        self.bins[target] = [i for i in self.bins[target] if i not in take] + give
-        for b in (source, target):
-            self.fill[b] = int(self.lengths[self.bins[b]].sum()) if self.bins[b] else 0
+        self.bins, self.lengths, self.capacity = bins, lengths.tolist(), capacity
+        self.fill = [sum(self.lengths[i] for i in b) for b in bins]
+        self.version = [0] * len(bins)
+        self.one, self.two = _Offers(capacity), _Offers(capacity)  # giving back at most one item, giving back two
+        for b in range(len(bins)):
+            self.offer(b)
+
+    def offer(self, b: int) -> None:
+        room, version, items = self.capacity - self.fill[b], self.version[b], self.bins[b]
+        if not room or not items:
+            return
+        self.one.add(0, room, b, version, [])
+        for k, i in enumerate(items):
+            self.one.add(self.lengths[i], room, b, version, [i])
+            for j in items[:k]:
+                self.two.add(self.lengths[i] + self.lengths[j], room, b, version, [i, j])
+
+    def partner(self, offers: _Offers, given: int, source: int) -> tuple[int, tuple] | None:
+        """The exchange that leaves most of ``given`` tokens in another bin and raises the sum of squared fills."""
+        for back in np.flatnonzero(offers.best[:given] >= given).tolist():
+            entry = offers.top(back, self.version)
+            gain = given - back
+            if entry and -entry[0] >= gain and self.fill[entry[1]] + gain > self.fill[source]:
+                return gain, entry
+        return None
+
+    def improve(self, source: int) -> bool:
+        """Make the best exchange out of ``source``, if there is one."""
+        items = self.bins[source]
+        found: tuple[int, tuple, list[int]] | None = None
+        for k, i in enumerate(items):
+            for give, offers in [([i], self.one), ([i], self.two)] + [([i, j], self.one) for j in items[:k]]:
+                given = sum(self.lengths[x] for x in give)
+                if (found is None or given > found[0]) and (p := self.partner(offers, given, source)) and (found is None or p[0] > found[0]):
+                    found = (p[0], p[1], give)
+        if not found:
+            return False
+        gain, (_, target, _, back), give = found
+        self.bins[source] = [x for x in items if x not in give] + back
+        self.bins[target] = [x for x in self.bins[target] if x not in back] + give
+        self.fill[source] -= gain
+        self.fill[target] += gain
+        self.version[target] += 1
+        self.offer(target)
+        return True
 
 
 def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> list[list[int]]:
     """Fewer bins where exchanges between underfull ones allow it."""
-    fills = np.array([int(lengths[b].sum()) for b in bins], dtype=np.int64)
+    fills = [int(lengths[b].sum()) for b in bins]
     full = [b for b, f in zip(bins, fills) if f >= capacity]
-    under = _Under([b for b, f in zip(bins, fills) if f < capacity], lengths, capacity)
-    spare = int(capacity * len(under.bins) - under.fill.sum())
-    moved = spare >= capacity
+    search = _Search([b for b, f in zip(bins, fills) if f < capacity], lengths, capacity)
+    spare = capacity * len(search.bins) - sum(search.fill)
+    moved = True
     while moved and spare >= capacity:
         moved = False
-        for source in np.argsort(under.fill, kind="stable").tolist():
-            while under.bins[source] and spare >= capacity and (found := under.gains(source)):
-                under.apply(source, found[1])
+        for source in sorted(range(len(search.bins)), key=search.fill.__getitem__):
+            if not search.bins[source] or search.fill[source] == capacity:
+                continue
+            search.version[source] += 1  # no partner of itself
+            while search.bins[source] and search.improve(source):
                 moved = True
-                if not under.bins[source]:
-                    spare -= capacity
-            if spare < capacity:
-                break
-    return full + [b for b in under.bins if b]
+            search.offer(source)
+            if not search.bins[source]:
+                spare -= capacity
+                if spare < capacity:
+                    break
+    return full + [b for b in search.bins if b]
 
 
 def pack_group(frame: pd.DataFrame, capacity: int) -> pd.DataFrame:
