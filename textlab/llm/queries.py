@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from textlab.llm.ann_forest import op4_ann_forest
 from textlab.llm.fingerprints_oph import op2_fingerprints_oph
 from textlab.llm.merge_dropout import op8_merge_dropout
 from textlab.llm.near_dups import op7_near_dups
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity_gru": op1_toxicity_gru,
     "op2_fingerprints_oph": op2_fingerprints_oph,
     "op3_repeats_bwt": op3_repeats_bwt,
+    "op4_ann_forest": op4_ann_forest,
     "op6_shards_histogram": op6_shards_histogram,
     "op7_near_dups": op7_near_dups,
     "op8_merge_dropout": op8_merge_dropout,
