@@ -30,6 +30,9 @@ KEEP_TAGS = "p|br|h1|h2|h3|h4|h5|h6|ul|ol|li|strong|em|b|i|blockquote"
 # HTML entities decoded (``&amp;`` last).
 ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
 WHITESPACE = r"[ \t\n\r\f]+"
+STRIP = r"^[ \t\n\r\f]+|[ \t\n\r\f]+$"
+# Tags inside running text; removing one joins what stands on its sides.
+INLINE_TAGS = r"(?i)</?(a|abbr|b|cite|code|em|font|i|mark|q|s|small|span|strong|sub|sup|u)(\s[^>]*)?/?>"
 
 
 def _c(c) -> Column:
@@ -53,10 +56,10 @@ def strip_title(text, title) -> Column:
 
 
 def strip_section_words(text, words: Sequence[str] = SECTION_WORDS) -> Column:
-    """For each word in order, trim then remove every occurrence."""
+    """For each word in order, strip white space at both ends, then remove every occurrence."""
     out = _c(text)
     for w in words:
-        out = F.replace(F.trim(out), F.lit(w.strip()), F.lit(""))
+        out = F.replace(F.regexp_replace(out, STRIP, ""), F.lit(w), F.lit(""))
     return out
 
 
@@ -73,9 +76,10 @@ def _decode_entities(c: Column) -> Column:
 
 
 def html_to_text(html) -> Column:
-    """Drop script/style/comments, replace tags by a blank, decode the
-    common entities, collapse white space, trim."""
+    """Drop script/style/comments, remove inline tags, replace other tags
+    by a blank, decode the common entities, collapse white space, trim."""
     c = _drop_blocks(_c(html))
+    c = F.regexp_replace(c, INLINE_TAGS, "")
     c = F.regexp_replace(c, r"<[^>]*>", " ")
     c = _decode_entities(c)
     return F.trim(F.regexp_replace(c, WHITESPACE, " "))

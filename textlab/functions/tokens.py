@@ -2,8 +2,9 @@
 
 Fixed values: a token is a maximal run of Unicode letters or digits
 (``[\\p{L}\\p{N}]+``) of the lower-cased text.  The strict mode splits on white
-space and keeps only tokens that are entirely letters/digits, so tokens such
-as ``ESF+``, ``z.B.`` or ``aus-`` are dropped as a whole.
+space, detaches punctuation from both ends of a token and keeps only tokens
+that are then entirely letters/digits, so ``Bildung,`` gives ``bildung`` while
+``ESF+``, ``z.B.`` or ``aus-`` are dropped as a whole.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 # Fixed values (shared with the DuckDB oracle SQL).
 TOKEN_PATTERN = r"[\p{L}\p{N}]+"
 STRICT_TOKEN_PATTERN = r"^[\p{L}\p{N}]+$"
+EDGE_PUNCTUATION = r"""^[.,;:!?()\[\]"'„“”‚‘’«»]+|[.,;:!?()\[\]"'„“”‚‘’«»]+$"""
 
 
 def _col(c) -> Column:
@@ -24,7 +26,7 @@ def tokens(text, strict: bool = False) -> Column:
     """array<string> of lower-cased word tokens; null/non-text gives []."""
     t = F.lower(F.coalesce(_col(text), F.lit("")))
     if strict:
-        parts = F.split(t, r"\s+")
+        parts = F.transform(F.split(t, r"\s+"), lambda w: F.regexp_replace(w, EDGE_PUNCTUATION, ""))
         return F.filter(parts, lambda w: w.rlike(STRICT_TOKEN_PATTERN))
     return F.regexp_extract_all(t, F.lit(TOKEN_PATTERN), 0)
 

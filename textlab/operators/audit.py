@@ -70,7 +70,7 @@ def issue_overlap(a: DataFrame, b: DataFrame, id_col: str = "doc_id") -> DataFra
 
 def score_histogram(df: DataFrame, score_col: str, label_col: str, lo: float = 0.0, hi: float = 1.0,
                     bins: int = 10) -> DataFrame:
-    """(label, bin, n): equal-width bins over [lo, hi]; hi falls in the last bin."""
+    """(label, bin, n): equal-width bins over [lo, hi]; lower values fall in the first bin, hi and higher in the last."""
     s = F.col(score_col)
-    b = F.least(F.floor((s - F.lit(lo)) / F.lit((hi - lo) / bins)).cast("int"), F.lit(bins - 1))
+    b = F.greatest(F.least(F.floor((s - F.lit(lo)) / F.lit((hi - lo) / bins)).cast("int"), F.lit(bins - 1)), F.lit(0))
     return df.groupBy(label_col, b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))

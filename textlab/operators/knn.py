@@ -25,6 +25,8 @@ spread over (cell, ring) keys, never one group).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -116,32 +118,45 @@ def knn(points: DataFrame, id_col: str, vec_col: str, k: int = 10, n_pivots: int
                       (F.col("_p") + 1).cast("int").alias("rank"))
 
 
+def valuation_ranks(k: int, eps: float) -> int:
+    """Neighbours that the truncated KNN-Shapley recursion looks at: max(k, 1 / eps)."""
+    return max(k, int(math.ceil(1.0 / eps)))
+
+
 def knn_shapley(points: DataFrame, neighbors: DataFrame, id_col: str, label_col: str, k: int = 10,
-                digits: int = 6) -> DataFrame:
-    """Q2: KNN-Shapley values (Jia et al., 2019) on the kNN graph.
-
-    Each point t is a test point for its k nearest other points ranked
-    j = 1..k with m_j = [label(j) == label(t)]:
-    s_k = m_k / k;  s_j = s_(j+1) + (m_j - m_(j+1)) / k * min(k, j) / j.
-    A point's value is the mean of its s over all N test points (0 where it
-    is not a neighbour), scaled to 0.5 * (mean + 1): below 0.5 = harmful.
+                ranks: int | None = None, digits: int = 9) -> DataFrame:
+    """Q2: KNN-Shapley values (Jia et al., 2019), truncated.
+
+    Each point t is a test point for its nearest other points ranked
+    j = 1, 2, ... with m_j = [label(j) == label(t)].  Beyond rank
+    ``ranks`` = max(k, 1 / eps) every value is within eps of 0 and set to 0;
+    before it  s_j = s_(j+1) + (m_j - m_(j+1)) / k * min(k, j) / j.
+    The ranks beyond k carry the negative terms: a point that stands before
+    better neighbours loses.  ``neighbors`` must hold ``ranks`` neighbours.
+
+    ``value_sum`` is a point's sum of s over all N test points;
+    ``data_valuation_score`` = 0.5 * (value_sum / N + 1), below 0.5 = harmful.
     """
+    ranks = ranks or k
     lab = points.select(F.col(id_col).alias("_t"), F.col(label_col).alias("_yt"))
     nb = neighbors.select(F.col(id_col).alias("_t"), "neighbor_id", "rank").join(lab, "_t")
     nb = nb.join(points.select(F.col(id_col).alias("neighbor_id"), F.col(label_col).alias("_yn")), "neighbor_id")
     nb = nb.withColumn("m", (F.col("_yt") == F.col("_yn")).cast("double"))
     w = Window.partitionBy("_t").orderBy("rank")
     nb = nb.withColumn("_mnext", F.lead("m").over(w))
-    step = F.when(F.col("_mnext").isNull(), F.col("m") / k).otherwise(
+    # The last neighbour: s = 0 at the cut; if all other points are ranked (few points), it starts the recursion.
+    last = F.when(F.col("rank") >= ranks, F.lit(0.0)).otherwise(F.col("m") / k * F.least(F.lit(k), F.col("rank")) / F.col("rank"))
+    step = F.when(F.col("_mnext").isNull(), last).otherwise(
         (F.col("m") - F.col("_mnext")) / k * F.least(F.lit(k), F.col("rank")) / F.col("rank"))
     nb = nb.withColumn("_step", step)
-    # suffix sum over the (at most k) neighbours of one test point
+    # suffix sum over the (at most ``ranks``) neighbours of one test point
     nb = nb.withColumn("s", F.sum("_step").over(w.rowsBetween(0, Window.unboundedFollowing)))
     n = points.select(F.count(F.lit(1))).scalar()
     tot = nb.groupBy("neighbor_id").agg(F.sum("s").alias("_s"))
     out = points.select(id_col, label_col).join(tot.withColumnRenamed("neighbor_id", id_col), id_col, "left")
-    return out.select(id_col, label_col, F.round(F.lit(0.5) * (F.coalesce("_s", F.lit(0.0)) / n + F.lit(1.0)), digits)
-                      .alias("data_valuation_score"))
+    total = F.coalesce("_s", F.lit(0.0))
+    return out.select(id_col, label_col, F.round(total, digits).alias("value_sum"),
+                      F.round(F.lit(0.5) * (total / n + F.lit(1.0)), digits).alias("data_valuation_score"))
 
 
 def smote(points: DataFrame, id_col: str, vec_col: str, label_col: str, minority: int = 1, k: int = 5,
@@ -149,10 +164,15 @@ def smote(points: DataFrame, id_col: str, vec_col: str, label_col: str, minority
     """V6: synthetic minority rows until both classes are equal (Chawla et
     al., 2002).  Synthetic j (0-based) starts from the minority row of rank
     (j mod m) + 1 in md5(seed:id) order, takes its neighbour of rank
-    (h(seed:j) mod k) + 1 among minority rows and moves u(seed:j) of the way.
+    (h(seed:j) mod min(k, m - 1)) + 1 among minority rows and moves u(seed:j)
+    of the way.  A minority of one row has no neighbour: an error is raised.
     Returns only the synthetic rows: (synthetic_id, base_id, neighbor_id, vector)."""
     mino = points.filter(F.col(label_col) == minority).select(id_col, vec_col)
-    m = mino.select(F.count(F.lit(1))).scalar()
+    n_minority = mino.count()
+    if n_minority == 1:
+        raise ValueError("SMOTE needs at least two minority rows")
+    m = F.lit(n_minority)
+    reach = max(1, min(k, n_minority - 1))
     other = points.filter(F.col(label_col) != minority).select(F.count(F.lit(1))).scalar()
     needed = F.greatest(other - m, F.lit(0))
     nbrs = knn(mino, id_col, vec_col, k=k, seed=seed, **knn_kw)
@@ -160,7 +180,7 @@ def smote(points: DataFrame, id_col: str, vec_col: str, label_col: str, minority
     cnt = F.floor((needed - (F.col("_rk") - 1) + m - 1) / m).cast("int")
     gen = r.withColumn("_i", F.explode(F.sequence(F.lit(0), cnt - 1))).filter(cnt > 0)
     gen = gen.withColumn("synthetic_id", ((F.col("_rk") - 1) + F.col("_i") * m).cast("bigint"))
-    gen = gen.withColumn("_nr", (F.pmod(h60(hash_key(F.lit(seed), "synthetic_id", F.lit("nn"))), F.lit(k)) + 1)
+    gen = gen.withColumn("_nr", (F.pmod(h60(hash_key(F.lit(seed), "synthetic_id", F.lit("nn"))), F.lit(reach)) + 1)
                          .cast("int"))
     gen = gen.withColumn("_u", h60(hash_key(F.lit(seed), "synthetic_id", F.lit("u"))) / F.lit(float(1 << 60)))
     nb = nbrs.select(F.col(id_col).alias("_b"), "neighbor_id", F.col("rank").alias("_nr2"))

@@ -32,11 +32,12 @@ def annotation_labels(export: DataFrame, key: str = "id_hash", title: str = "tit
     """One row per annotation: (key, title, label) from a nested export.
 
     The first choice of the first result of each annotation decides the
-    label; an empty choice list gives a null label.
+    label; an empty choice list gives a null label.  An item without
+    annotations (empty or null list) keeps one row with a null label.
     """
     ann = export.select(F.col("data").getField(key).alias(key),
                         F.col("data").getField(title).alias(title),
-                        F.explode("annotations").alias("_a"))
+                        F.explode_outer("annotations").alias("_a"))
     first_choice = F.get(F.get(F.col("_a.result"), 0).getField("value").getField("choices"), 0)
     return ann.select(key, title, choice_label(first_choice).alias(out_col))
 

@@ -6,7 +6,7 @@ whole group inside one task (a class can hold a third of all rows); instead
 rows are range-partitioned on (group, order), sorted inside each partition,
 and numbered by ``monotonically_increasing_id`` plus per-(partition, group)
 offsets taken from a small aggregate (partitions x groups rows, broadcast).
-The range shuffle carries only narrow key columns.  The numbered rows are
+Callers that hand in narrow frames (ids and keys) shuffle only these.  The numbered rows are
 checkpointed (``spark.checkpoint.dir``) before the offsets are taken, so the
 offsets and the rows come from one fixed materialisation: partition ids
 cannot differ between the two reads, and a lost executor does not renumber.
@@ -22,9 +22,6 @@ from pyspark.sql import functions as F
 from textlab.functions.hashing import h60, hash_key
 from textlab.session import checkpoint_dir
 
-# Bound on the (partition, group) offset table that is broadcast.
-MAX_OFFSET_ROWS = 2_000_000
-
 
 def exact_rank(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                out_col: str = "rank", num_partitions: int | None = None) -> DataFrame:
@@ -42,10 +39,7 @@ def exact_rank(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[st
     w = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     # A group spanning several partitions: rows before it in earlier partitions.
     offsets = blocks.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0))).drop("_cnt")
-    # Broadcast only a checked size (partitions x groups rows); beyond it a
-    # regular join on (partition, group).
-    if blocks.count() <= MAX_OFFSET_ROWS:
-        offsets = F.broadcast(offsets)
+    # The offset table has partitions x groups rows; AQE broadcasts it while it is small.
     ranked = s.join(offsets, ["_pid", *g])
     return ranked.withColumn(out_col, (F.col("_mid") - F.col("_first") + F.col("_off") + 1).cast("bigint")) \
         .drop("_pid", "_mid", "_first", "_off")
@@ -142,16 +136,21 @@ def cached_folds(docs: DataFrame, id_col: str, label_col: str, text_col: str, ca
     """V5: fold table cached as Parquet under a key of the settings *and* a
     fingerprint of the data (the reference's key omits the data, so stale
     folds were possible).  A hit reads the stored folds; a miss builds and
-    writes them."""
+    writes them.  With ``augment_factor`` > 1 the stored folds are those of
+    ``augment_folds``: every fold's training rows and their rewritten copies."""
     import hashlib
+
+    from textlab.operators.augment import augment_folds
+    from textlab.sources.io import path_exists
     spark = docs.sparkSession
     fp = docs.select(dataset_fingerprint(docs, [id_col, label_col, text_col]).alias("f")).first()["f"]
     key = hashlib.sha256(f"{text_col}|{label_col}|{augment_factor}|{n_splits}|{test_size}|{seed}|{fp}"
                          .encode()).hexdigest()
     path = f"{cache_root.rstrip('/')}/folds-{key}"
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - cache miss
+    # A write that broke off leaves no _SUCCESS file and is written again; any other failure is raised.
+    if not path_exists(spark, f"{path}/_SUCCESS"):
         folds = stratified_splits(docs, id_col, label_col, n_splits, test_size, seed)
+        if augment_factor > 1:
+            folds = augment_folds(docs, folds, id_col, text_col, label_col, factor=augment_factor)
         folds.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+    return spark.read.parquet(path)

@@ -16,6 +16,8 @@ from textlab.plans.views import hash_unit, hash_unit_sql
 from textlab.sources.tables import read_table
 
 K = 10
+EPS = 0.05
+RANKS = KN.valuation_ranks(K, EPS)
 
 
 def _pairs_sql(src: str, k: int) -> str:
@@ -28,18 +30,19 @@ r AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d
                      FROM p) WHERE rank <= {k})"""
 
 
-_VAL_SQL = "WITH " + _pairs_sql("embeddings", K) + f""",
+_VAL_SQL = "WITH " + _pairs_sql("embeddings", RANKS) + f""",
 l AS (SELECT vec_id, label FROM embeddings),
 nb AS (SELECT r.vec_id AS t, r.neighbor_id, r.rank,
               CASE WHEN lt.label = ln.label THEN 1.0 ELSE 0.0 END AS m
        FROM r JOIN l lt ON r.vec_id = lt.vec_id JOIN l ln ON r.neighbor_id = ln.vec_id),
 st AS (SELECT *, lead(m) OVER (PARTITION BY t ORDER BY rank) AS mn FROM nb),
-s2 AS (SELECT *, CASE WHEN mn IS NULL THEN m / {K} ELSE (m - mn) / {K} * least({K}, rank) / rank END AS step FROM st),
+s2 AS (SELECT *, CASE WHEN mn IS NULL THEN CASE WHEN rank >= {RANKS} THEN 0 ELSE m / {K} * least({K}, rank) / rank END ELSE (m - mn) / {K} * least({K}, rank) / rank END AS step FROM st),
 s3 AS (SELECT *, sum(step) OVER (PARTITION BY t ORDER BY rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS s
        FROM s2),
 tot AS (SELECT neighbor_id, sum(s) AS s FROM s3 GROUP BY neighbor_id),
 val AS (SELECT l.vec_id, l.label,
-               round(0.5 * (coalesce(tot.s, 0) / (SELECT count(*) FROM embeddings) + 1), 6) AS data_valuation_score
+               round(coalesce(tot.s, 0), 9) AS value_sum,
+               round(0.5 * (coalesce(tot.s, 0) / (SELECT count(*) FROM embeddings) + 1), 9) AS data_valuation_score
         FROM l LEFT JOIN tot ON l.vec_id = tot.neighbor_id)"""
 
 
@@ -49,7 +52,7 @@ def _emb(spark, sf_dir):
 
 def _val(spark, sf_dir):
     e = _emb(spark, sf_dir)
-    return KN.knn_shapley(e, KN.knn(e, "vec_id", "embedding", k=K), "vec_id", "label", k=K)
+    return KN.knn_shapley(e, KN.knn(e, "vec_id", "embedding", k=RANKS), "vec_id", "label", k=K, ranks=RANKS)
 
 
 @register("knn", "WITH " + _pairs_sql("embeddings", K) + """
@@ -64,10 +67,10 @@ def q_data_valuation(spark, sf_dir):
 
 
 @register("valuation_histogram", _VAL_SQL + """
-SELECT label, CAST(least(floor((data_valuation_score - 0.5) / 0.005), 9) AS INTEGER) AS bin, count(*) AS n
+SELECT label, CAST(greatest(least(floor((value_sum - CAST(-0.5 AS DOUBLE)) / CAST(0.1 AS DOUBLE)), 9), 0) AS INTEGER) AS bin, count(*) AS n
 FROM val GROUP BY 1, 2""")
 def q_valuation_histogram(spark, sf_dir):
-    return AU.score_histogram(_val(spark, sf_dir), "data_valuation_score", "label", 0.5, 0.55, 10)
+    return AU.score_histogram(_val(spark, sf_dir), "value_sum", "label", -0.5, 0.5, 10)
 
 
 # Binary audit target on embeddings: y = (label = 1); oof p1 = 0.3 y + 0.7 u(vec_id).
@@ -111,13 +114,13 @@ def q_review_queue(spark, sf_dir):
 
 @register("issue_overlap", _REVIEW_SQL + """,
 a AS (SELECT vec_id FROM issues WHERE is_label_issue),
-bb AS (SELECT vec_id FROM val WHERE data_valuation_score < 0.55)
+bb AS (SELECT vec_id FROM val WHERE data_valuation_score < 0.5)
 SELECT (SELECT count(*) FROM a) AS n_a, (SELECT count(*) FROM bb) AS n_b,
        (SELECT count(*) FROM (SELECT vec_id FROM a INTERSECT SELECT vec_id FROM bb)) AS n_intersection,
        (SELECT count(*) FROM (SELECT vec_id FROM a UNION SELECT vec_id FROM bb)) AS n_union""")
 def q_issue_overlap(spark, sf_dir):
     a = _issues(spark, sf_dir).filter("is_label_issue")
-    b = _val(spark, sf_dir).filter(F.col("data_valuation_score") < 0.55)
+    b = _val(spark, sf_dir).filter(F.col("data_valuation_score") < 0.5)
     return AU.issue_overlap(a, b, "vec_id")
 
 

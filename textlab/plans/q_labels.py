@@ -11,7 +11,8 @@ from textlab.sources.tables import read_table
 
 
 @register("annotation_flatten", "WITH " + EXPORT_SQL + """,
-anns AS (SELECT data.id_hash AS id_hash, data.title AS title, unnest(annotations) AS a FROM export)
+anns AS (SELECT data.id_hash AS id_hash, data.title AS title,
+                unnest(CASE WHEN len(annotations) > 0 THEN annotations ELSE [NULL] END) AS a FROM export)
 SELECT id_hash, title,
        CAST(CASE a.result[1].value.choices[1] WHEN 'yes' THEN 1 WHEN 'no' THEN 0
             WHEN 'dfy' THEN 1 WHEN 'dfn' THEN 0 END AS BIGINT) AS label

@@ -49,7 +49,7 @@ def decode_entities(e: str) -> str:
 
 
 def html_to_text(e: str) -> str:
-    e = rr(drop_blocks(e), r"<[^>]*>", " ")
+    e = rr(rr(drop_blocks(e), T.INLINE_TAGS, ""), r"<[^>]*>", " ")
     e = decode_entities(e)
     return f"trim({rr(e, T.WHITESPACE, ' ')})"
 
@@ -81,7 +81,7 @@ def strip_title(text: str, title: str) -> str:
 
 def strip_section_words(e: str, words=T.SECTION_WORDS) -> str:
     for w in words:
-        e = f"replace(trim({e}), {lit(w.strip())}, '')"
+        e = f"replace({rr(e, T.STRIP, '')}, {lit(w)}, '')"
     return e
 
 
@@ -95,6 +95,6 @@ def title_cats_compact(title: str, area: str, app: str, text: str) -> str:
             f" || {app} || '): ' || {strip_title(text, title)})")
 
 
-def title_cats_compact_wo_sections(title: str, area: str, app: str, text: str) -> str:
+def title_cats_compact_wo_sections(title: str, area: str, app: str, text: str, words=T.SECTION_WORDS) -> str:
     return (f"({title} || {lit(' (' + T.AREA_LABEL + ': ')} || {area} || {lit('; ' + T.APPLICANTS_LABEL + ': ')}"
-            f" || {app} || '): ' || {strip_section_words(strip_title(text, title))})")
+            f" || {app} || '): ' || {strip_section_words(strip_title(text, title), words)})")

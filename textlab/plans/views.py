@@ -90,6 +90,7 @@ def annotation_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     anns = F.when(F.col("toxic") == 1, F.array(ann(choices), ann(F.array(F.lit("yes"), F.lit("no"))))) \
         .otherwise(F.array(ann(choices)))
+    anns = F.when(F.col("doc_id") % 19 == 0, F.lit(None)).when(F.col("doc_id") % 17 == 0, F.slice(anns, 1, 0)).otherwise(anns)
     data = F.struct(F.concat(F.lit("doc "), F.col("doc_id").cast("string")).alias("title"),
                     F.col("doc_id").cast("string").alias("id_hash"))
     return lab.select(data.alias("data"), anns.alias("annotations"))
@@ -97,7 +98,9 @@ def annotation_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 EXPORT_SQL = """export AS (
   SELECT {'title': 'doc ' || CAST(doc_id AS VARCHAR), 'id_hash': CAST(doc_id AS VARCHAR)} AS data,
-         CASE WHEN toxic = 1 THEN [{'result': [{'value': {'choices': ch}}]},
+         CASE WHEN doc_id % 19 = 0 THEN NULL
+              WHEN doc_id % 17 = 0 THEN list_slice([{'result': [{'value': {'choices': ch}}]}], 2, 1)
+              WHEN toxic = 1 THEN [{'result': [{'value': {'choices': ch}}]},
                                    {'result': [{'value': {'choices': ['yes', 'no']}}]}]
               ELSE [{'result': [{'value': {'choices': ch}}]}] END AS annotations
   FROM (SELECT doc_id, toxic,

@@ -9,6 +9,7 @@ cluster's shared checkpoint folder and only invents one when none is set
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -61,7 +62,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS/S3) for this cluster")
         configured = tempfile.mkdtemp(prefix="textlab-ckpt-")
     sc.setCheckpointDir(configured)

@@ -13,10 +13,13 @@ import json
 import zipfile
 
 import pandas as pd
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+CHUNK_ROWS = 10_000
+
 # Schema of a labelling-tool export (the fields the pipeline uses).
 EXPORT_SCHEMA = T.StructType([
     T.StructField("data", T.StructType([
@@ -75,12 +78,14 @@ def read_archive_members(spark: SparkSession, path: str, schema: str | T.StructT
                          fmt: str = "csv") -> DataFrame:
     """Rows of the CSV/Parquet members of zip archives at ``path``.
 
-    One task per archive; each member is parsed with pandas/pyarrow inside
-    the task and emitted in batches."""
+    One task per archive; CSV members are read as strings in chunks and cast
+    by Spark to ``schema`` (an id ``00123`` keeps its zeros), Parquet members
+    batch by batch."""
     import fnmatch
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("content")
     st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
     names = [f.name for f in st.fields]
+    raw = T.StructType([T.StructField(n, T.StringType()) for n in names]) if fmt == "csv" else st
 
     def expand(batches):
         for pdf in batches:
@@ -90,17 +95,28 @@ def read_archive_members(spark: SparkSession, path: str, schema: str | T.StructT
                         if not fnmatch.fnmatch(m, member_glob):
                             continue
                         with z.open(m) as fh:
-                            data = pd.read_csv(fh) if fmt == "csv" else pd.read_parquet(io.BytesIO(fh.read()))
-                        yield data[names]
-    return files.mapInPandas(expand, st)
+                            if fmt == "csv":
+                                for chunk in pd.read_csv(fh, dtype=str, chunksize=CHUNK_ROWS):
+                                    chunk = chunk[names].astype(object)
+                                    yield chunk.where(chunk.notna(), None)
+                            else:
+                                for part in pq.ParquetFile(io.BytesIO(fh.read())).iter_batches(CHUNK_ROWS, columns=names):
+                                    yield part.to_pandas()[names]
+    return files.mapInPandas(expand, raw).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in st.fields])
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists in the file system that Spark resolves it to."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
-    """The results log, or an empty frame with its schema when absent."""
-    try:
-        return spark.read.schema(RESULTS_SCHEMA).parquet(path)
-    except Exception:  # noqa: BLE001 - path does not exist yet
+    """The results log, or an empty frame with its schema when the path is
+    absent.  Any other failure (rights, a corrupt file, the network) is raised."""
+    if not path_exists(spark, path):
         return spark.createDataFrame([], RESULTS_SCHEMA)
+    return spark.read.schema(RESULTS_SCHEMA).parquet(path)
 
 
 def append_results(df: DataFrame, path: str) -> None:
