@@ -20,12 +20,24 @@ from pyspark.sql import functions as F
 from textlab.operators.splits import exact_rank
 
 
-def label_issues(scored: DataFrame, id_col: str = "doc_id", label_col: str = "label",
-                 p_col: str = "p1", digits: int = 6) -> DataFrame:
+def _with_quality(scored: DataFrame, id_col: str, label_col: str, p_col: str) -> DataFrame:
     y, p1 = F.col(label_col), F.col(p_col)
-    base = scored.select(id_col, label_col, p_col,
+    return scored.select(id_col, label_col, p_col,
                          F.when(y == 1, p1).otherwise(F.lit(1.0) - p1).alias("label_quality"),
                          (p1 >= 0.5).cast("int").alias("predicted_label"))
+
+
+def label_quality(scored: DataFrame, id_col: str = "doc_id", label_col: str = "label",
+                  p_col: str = "p1", digits: int = 6) -> DataFrame:
+    """Quality and predicted label of every row, without the issue ranking (no shuffle)."""
+    base = _with_quality(scored, id_col, label_col, p_col)
+    return base.select(id_col, label_col, F.round("label_quality", digits).alias("label_quality"), "predicted_label")
+
+
+def label_issues(scored: DataFrame, id_col: str = "doc_id", label_col: str = "label",
+                 p_col: str = "p1", digits: int = 6) -> DataFrame:
+    y, p1 = F.col(label_col), F.col(p_col)
+    base = _with_quality(scored, id_col, label_col, p_col)
     # Class thresholds: two numbers (scalar subqueries).
     t1 = base.filter(y == 1).select(F.avg(p_col)).scalar()
     t0 = base.filter(y == 0).select(F.avg(F.lit(1.0) - p1)).scalar()

@@ -81,19 +81,23 @@ def pack_blocks(docs: DataFrame, id_col: str, tokens_col: str, block: int = 512,
     """Documents in id order form batches of ``batch_docs``; each batch's
     token streams are concatenated and cut into ``block``-token blocks; the
     incomplete tail of each batch is dropped.  (batch, block, tokens, labels)."""
-    d = docs.select(id_col, F.size(tokens_col).alias("_len"), tokens_col)
-    ranked = exact_rank(d, [], [id_col], "_rk").withColumn(
+    # Only ids and lengths are ranked; a document's slices then carry its tokens to their blocks in one shuffle.
+    ranked = exact_rank(docs.select(id_col, F.size(tokens_col).alias("_len")), [], [id_col], "_rk").withColumn(
         "batch", F.floor((F.col("_rk") - 1) / batch_docs).cast("bigint"))
     w = Window.partitionBy("batch").orderBy(id_col)  # at most batch_docs rows per group
     ranked = ranked.withColumn("_off", F.coalesce(F.sum("_len").over(w.rowsBetween(Window.unboundedPreceding, -1)),
                                                   F.lit(0)))
-    ranked = ranked.withColumn("_tot", F.sum("_len").over(Window.partitionBy("batch")))
-    ex = ranked.select("batch", "_off", "_tot", F.posexplode(tokens_col).alias("_pos", "_tok"))
-    ex = ex.withColumn("_g", F.col("_off") + F.col("_pos")).withColumn(
-        "block", F.floor(F.col("_g") / block).cast("bigint"))
-    ex = ex.filter(F.col("block") < F.floor(F.col("_tot") / block))
-    blocks = ex.groupBy("batch", "block").agg(F.array_sort(F.collect_list(F.struct("_g", "_tok"))).alias("_s"))
-    toks = F.transform("_s", lambda s: s["_tok"])
+    ranked = ranked.withColumn("_tot", F.sum("_len").over(Window.partitionBy("batch"))).filter(F.col("_len") > 0)
+    first = F.floor(F.col("_off") / block)
+    last = F.floor((F.col("_off") + F.col("_len") - 1) / block)
+    cut = docs.select(id_col, tokens_col).join(ranked, id_col).withColumn("block", F.explode(F.sequence(first, last)))
+    cut = cut.filter(F.col("block") < F.floor(F.col("_tot") / block))
+    start = F.greatest(F.col("block") * block - F.col("_off"), F.lit(0)).cast("int")
+    stop = F.least((F.col("block") + 1) * block - F.col("_off"), F.col("_len")).cast("int")
+    cut = cut.select("batch", "block", (F.col("_off") + start).alias("_g"),
+                     F.slice(F.col(tokens_col), start + 1, stop - start).alias("_part"))
+    blocks = cut.groupBy("batch", "block").agg(F.array_sort(F.collect_list(F.struct("_g", "_part"))).alias("_s"))
+    toks = F.flatten(F.transform("_s", lambda s: s["_part"]))
     return blocks.select("batch", "block", toks.alias("tokens"), toks.alias("labels"))
 
 
@@ -102,7 +106,9 @@ def few_shot_demos(examples: DataFrame, id_col: str, text_col: str, label_col: s
     """A demo block (scalar subquery) of ``per_class`` examples per class,
     picked in md5(seed:id) order; classes in label order."""
     h = examples.select(id_col, text_col, label_col, h60(hash_key(F.lit(seed), id_col)).alias("_h"))
-    r = exact_rank(h, [label_col], ["_h", id_col], "_rk").filter(F.col("_rk") <= per_class)
+    # Each task keeps its own first ``per_class`` rows of a class before the shuffle (a window group limit).
+    w = Window.partitionBy(label_col).orderBy("_h", id_col)
+    r = h.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") <= per_class)
     line = F.concat(F.lit("Text: "), F.col(text_col), F.lit("\nLabel: "), F.col(label_col).cast("string"))
     demos = r.select(F.struct(label_col, "_rk", line.alias("_l")).alias("s")).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["_l"]), "\n\n").alias("d"))

@@ -86,7 +86,7 @@ def q_label_issues(spark, sf_dir):
 @register("worst_quality", _ISSUES_SQL + """
 SELECT doc_id, label, label_quality, predicted_label FROM issues ORDER BY label_quality, doc_id LIMIT 20""")
 def q_worst_quality(spark, sf_dir):
-    iss = AU.label_issues(_oof(spark, sf_dir))
+    iss = AU.label_quality(_oof(spark, sf_dir))
     return iss.orderBy("label_quality", "doc_id").limit(20).select("doc_id", "label", "label_quality",
                                                                     "predicted_label")
 
@@ -94,4 +94,4 @@ def q_worst_quality(spark, sf_dir):
 @register("quality_histogram", _ISSUES_SQL + """
 SELECT label, CAST(least(floor(label_quality / 0.1), 9) AS INTEGER) AS bin, count(*) AS n FROM issues GROUP BY 1, 2""")
 def q_quality_histogram(spark, sf_dir):
-    return AU.score_histogram(AU.label_issues(_oof(spark, sf_dir)), "label_quality", "label", 0.0, 1.0, 10)
+    return AU.score_histogram(AU.label_quality(_oof(spark, sf_dir)), "label_quality", "label", 0.0, 1.0, 10)
