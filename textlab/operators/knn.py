@@ -21,12 +21,17 @@ spread over (cell, ring) keys, never one group).
    (cell, ring) keys its band touches, then exact distances are filtered by
    tau and ranked.  No candidate is capped: the bound is exact, so the result
    equals brute force.
+5. Distances are computed in numpy, block by block: the rows of a key are
+   dealt into parts by a hash, so a block has a bounded number of rows, and
+   only each query's best k + 1 of a block leave it.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +40,8 @@ from textlab.operators.splits import exact_rank
 from textlab.session import checkpoint_dir
 
 EPS = 1e-9
+# Rows that a block of (cell, ring, part) has on average at most.
+BLOCK_ROWS = 4096
 
 
 def _dist(a: Column, b: Column) -> Column:
@@ -45,6 +52,39 @@ def _as_double(vec: Column) -> Column:
     return F.transform(vec, lambda x: x.cast("double"))
 
 
+def _block_neighbours(keep: int):
+    """Distances of one block, in numpy: for each query the ``keep`` nearest
+    member ids of the block (and all that rounding could tie with the last)."""
+    def run(queries: pd.DataFrame, targets: pd.DataFrame) -> pd.DataFrame:
+        out: tuple[list, list, list] = ([], [], [])
+        if len(queries) and len(targets):
+            x, radius = np.stack(targets["_v"].to_list()), targets["_r"].to_numpy()
+            sizes = np.array([len(m) for m in targets["members"]])
+            members, owner = np.concatenate(targets["members"].to_list()), np.repeat(np.arange(len(sizes)), sizes)
+            for at in range(0, len(queries), 128):
+                some = queries.iloc[at:at + 128]
+                q = np.stack(some["qv"].to_list())
+                total = np.zeros((len(q), len(x)))
+                for d in range(q.shape[1]):  # component order fixes the sums
+                    total += (q[:, d, None] - x[None, :, d]) ** 2
+                distance = np.sqrt(total)
+                tau, qd = some["_tau"].to_numpy()[:, None], some["qd"].to_numpy()[:, None]
+                distance[(distance > tau) | (np.abs(qd - radius[None, :]) > tau)] = np.inf
+                for query, line in zip(some["q"].tolist(), distance[:, owner]):
+                    near = np.flatnonzero(np.isfinite(line))
+                    if len(near) > keep:
+                        near = near[line[near] <= np.partition(line[near], keep - 1)[keep - 1] + 1e-8]
+                        # of equally near members the smallest ids are enough
+                        order = near[np.lexsort((members[near], line[near]))]
+                        near = order if len(order) <= 4 * keep else np.concatenate(
+                            [g[:keep] for g in np.split(order, np.flatnonzero(np.diff(line[order])) + 1)])
+                    out[0].extend([query] * len(near))
+                    out[1].extend(line[near].tolist())
+                    out[2].extend(members[near].tolist())
+        return pd.DataFrame({"q": out[0], "distance": out[1], "neighbor_id": out[2]})
+    return run
+
+
 def knn(points: DataFrame, id_col: str, vec_col: str, k: int = 10, n_pivots: int = 16, n_rings: int = 8,
         seed: int = 42, digits: int = 9) -> DataFrame:
     """(id, neighbor_id, distance, rank) for the k nearest other points;
@@ -100,11 +140,17 @@ def knn(points: DataFrame, id_col: str, vec_col: str, k: int = 10, n_pivots: int
     hi = F.floor(F.least(F.col("s.d") + F.col("_tau"), F.col("s.R")) / ring_w(F.col("s.R"))).cast("int")
     band = band.select(F.col("rep").alias("q"), F.col("_v").alias("qv"), "_tau", F.col("s.c").alias("cell"),
                        F.col("s.d").alias("qd"), F.explode(F.sequence(lo, F.greatest(lo, hi))).alias("ring"))
-    cand = band.join(targets, ["cell", "ring"])
-    cand = cand.filter(F.abs(F.col("qd") - F.col("_r")) <= F.col("_tau"))
-    cand = cand.withColumn("d", _dist(F.col("qv"), F.col("_v"))).filter(F.col("d") <= F.col("_tau"))
-    # expand candidate representatives to member ids (at most k+1 each)
-    pairs = cand.select("q", F.round("d", digits).alias("distance"), F.explode("members").alias("neighbor_id"))
+    # 5. blocks: a key's targets and queries are dealt into parts of bounded size, every pair of parts is one block
+    parts = max(1, -(-reps.count() // (n_pivots * n_rings * BLOCK_ROWS // 4)))
+    part = lambda c: F.pmod(F.xxhash64(c), F.lit(parts)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    targets = targets.select("rep", "members", "_v", "_r", "cell", "ring", part("rep").alias("tp")).withColumn("qp", every)
+    band = band.select("q", "qv", "_tau", "qd", "cell", "ring", part("q").alias("qp")).withColumn("tp", every)
+    key = ["cell", "ring", "tp", "qp"]
+    id_type = points.schema[id_col].dataType.simpleString()
+    found = band.groupBy(*key).cogroup(targets.groupBy(*key)).applyInPandas(
+        _block_neighbours(k + 1), f"q {id_type}, distance double, neighbor_id {id_type}")
+    pairs = found.select("q", F.round("distance", digits).alias("distance"), "neighbor_id")
     # every original point: its representative's list minus itself
     members = base.select(F.col("_id").alias(id_col), "_vh", "_v").join(
         reps.select(F.xxhash64("_v").alias("_vh"), "_v", F.col("rep").alias("q")), ["_vh", "_v"]).drop("_vh", "_v")
