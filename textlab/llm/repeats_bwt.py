@@ -17,9 +17,10 @@ compared, and the arrays of a round replace those of the last.  After a round, a
 with a neighbour starts a repeated string.  The collections lie one after the other in Spark's sorted shuffle files,
 which are read in sequence, in blocks of whole collections; many are worked on at once.
 
-A collection of more than ``HOT_ROWS`` members (a passage that a great share of all documents holds) would not fit a
-task.  Its members are counted instead by the hash of each of their strings that the anchor marks, an aggregation with
-partial sums, which gives the same starts.
+Members with the same bytes around the anchor (copied passages, texts of one repeated word) enter a collection as one
+context; if a context has several members, all their strings repeat.  A collection of more than ``HOT_ROWS`` different
+contexts would not fit a task.  Its contexts are counted instead by the hash of each of their strings that the anchor
+marks, an aggregation with partial sums, which gives the same starts.
 
 Scale: whole texts are shuffled once, and only those with a shared anchor are kept.  Copies of a whole text collapse
 before that; they are removed entirely.  Everything else that moves is anchors and the bytes around shared ones.
@@ -39,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textlab.llm.tables import discard, written
+from textlab.llm.tables import written
 from textlab.llm.textkit import map_batches, pieces, prefix_hash, span_hash, utf8_buffer
 
 LENGTH = 400
@@ -124,32 +125,43 @@ def _texts(docs: DataFrame, text_col: str, length: int) -> DataFrame:
     return docs.select(F.col(f"`{text_col}`").alias("_text")).mapInArrow(run, "key binary, text binary")
 
 
-_SEGMENT = "hash bigint, key binary, place int, left binary, right binary"
+_MEMBER = "hash bigint, context bigint, key binary, place int, n_left int, n_right int, left binary, right binary"
 
 
-def segments(affected: DataFrame, length: int, gram: int) -> DataFrame:
-    """The bytes around every shared anchor: ``left`` before it and ``right`` after its gram."""
+def members_of(affected: DataFrame, length: int, gram: int) -> DataFrame:
+    """One row per text and shared anchor: the bytes ``left`` of it and ``right`` of its gram, a hash of both as
+    ``context``, and their numbers.  A task gives the bytes of a context once, null after that."""
     reach = length - gram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
         for batch in batches:
-            columns: tuple[list, ...] = ([], [], [], [], [])
+            columns: tuple[list, ...] = tuple([] for _ in range(8))
             for key, text, found in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist(), batch.column("found").to_pylist()):
                 for f in found:
-                    p = f["place"]
-                    for column, value in zip(columns, (f["hash"], key, p, text[max(0, p - reach):p], text[p + gram:p + gram + reach])):
+                    p, anchor = f["place"], f["hash"]
+                    left, right = text[max(0, p - reach):p], text[p + gram:p + gram + reach]
+                    digest = hashlib.blake2b(left + right, digest_size=8, salt=len(left).to_bytes(8, "little")).digest()
+                    context = int.from_bytes(digest, "little", signed=True)
+                    new = (anchor, context) not in seen
+                    if new:
+                        if len(seen) >= 200_000:
+                            seen.clear()  # bytes given twice are dropped after the shuffle
+                        seen.add((anchor, context))
+                    row = (anchor, context, key, p, len(left), len(right), left if new else None, right if new else None)
+                    for column, value in zip(columns, row):
                         column.append(value)
-                if len(columns[0]) >= 20_000:
-                    yield _segment_batch(columns)
-                    columns = ([], [], [], [], [])
-            yield _segment_batch(columns)
+                    if len(columns[0]) >= 10_000:
+                        yield _member_batch(columns)
+                        columns = tuple([] for _ in range(8))
+            yield _member_batch(columns)
 
-    return affected.mapInArrow(run, _SEGMENT)
+    return affected.mapInArrow(run, _MEMBER)
 
 
-def _segment_batch(columns: tuple[list, ...]) -> pa.RecordBatch:
-    types = (pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, types)], names=["hash", "key", "place", "left", "right"])
+def _member_batch(columns: tuple[list, ...]) -> pa.RecordBatch:
+    types = (pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, types)], names=[f.split()[0] for f in _MEMBER.split(", ")])
 
 
 _OUTSIDE = 256  # symbol before a text's begin or after its end; equal to nothing
@@ -231,18 +243,25 @@ def repeated_starts(group: np.ndarray, left: list[bytes], right: list[bytes], le
     return low, high
 
 
-def _spans_of(rows: pa.Table, length: int, gram: int) -> pa.RecordBatch:
-    hashes = rows.column("hash").to_numpy()
+_STARTS = "hash bigint, context bigint, low int, high int"
+
+
+def _starts_of(rows: pa.Table, length: int, gram: int) -> pa.RecordBatch:
+    hashes, contexts = rows.column("hash").to_numpy(), rows.column("context").to_numpy()
+    once = np.flatnonzero(np.append(True, (hashes[1:] != hashes[:-1]) | (contexts[1:] != contexts[:-1])))
+    rows, hashes = rows.take(pa.array(once)), hashes[once]
     group = np.concatenate([[0], np.cumsum(hashes[1:] != hashes[:-1])])
     low, high = repeated_starts(group, rows.column("left").to_pylist(), rows.column("right").to_pylist(), length, gram)
     found = np.flatnonzero(low <= 0)
-    place = rows.column("place").to_numpy()[found].astype(np.int64)
-    return pa.RecordBatch.from_arrays([rows.column("key").take(pa.array(found)).combine_chunks(), pa.array(place + low[found]),
-                                       pa.array(place + high[found] + length)], names=["key", "start", "end"])
+    take = pa.array(found)
+    return pa.RecordBatch.from_arrays([rows.column("hash").take(take).combine_chunks(), rows.column("context").take(take).combine_chunks(),
+                                       pa.array(low[found].astype(np.int32)), pa.array(high[found].astype(np.int32))],
+                                      names=[f.split()[0] for f in _STARTS.split(", ")])
 
 
-def collection_spans(found: DataFrame, length: int, gram: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(key, start, end): what repeats around each anchor.  ``found``: rows as ``segments`` gives them."""
+def collection_starts(contexts: DataFrame, length: int, gram: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(hash, context, low, high): least and greatest start, relative to the anchor, of a context's strings that another
+    context of its collection holds too."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         rows = 0
@@ -255,23 +274,24 @@ def collection_spans(found: DataFrame, length: int, gram: int, block_rows: int =
             hashes = table.column("hash").to_numpy()
             last = int(np.searchsorted(hashes, hashes[-1]))  # the last collection may go on
             if last:
-                yield _spans_of(table.slice(0, last), length, gram)
+                yield _starts_of(table.slice(0, last), length, gram)
             held = table.slice(last).to_batches()
             rows -= last
         if rows:
-            yield _spans_of(pa.Table.from_batches(held), length, gram)
+            yield _starts_of(pa.Table.from_batches(held), length, gram)
 
-    return found.repartition("hash").sortWithinPartitions("hash").mapInArrow(run, "key binary, start bigint, end bigint")
+    return (contexts.select("hash", "context", "left", "right").repartition("hash").sortWithinPartitions("hash", "context")
+            .mapInArrow(run, _STARTS))
 
 
-def counted_spans(found: DataFrame, length: int, gram: int) -> DataFrame:
-    """The same for the members of very large collections, by counting their strings."""
+def counted_starts(contexts: DataFrame, length: int, gram: int) -> DataFrame:
+    """The same for the contexts of very large collections, by counting their strings."""
     reach = length - gram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
                 lefts, rights = part.column("left").to_pylist(), part.column("right").to_pylist()
                 data = np.frombuffer(b"".join(x + y for x, y in zip(lefts, rights)), dtype=np.uint8)
                 size = np.array([[len(x), len(x) + len(y)] for x, y in zip(lefts, rights)])
@@ -284,15 +304,34 @@ def counted_spans(found: DataFrame, length: int, gram: int) -> DataFrame:
                 owner, start, begin, end = owner[inside], start[inside], begin[inside], end[inside]
                 value = span_hash(prefix_hash(data), base[owner] + begin, base[owner] + end)
                 take = pa.array(owner)
-                yield pa.RecordBatch.from_arrays([part.column("hash").take(take), part.column("key").take(take), part.column("place").take(take),
+                yield pa.RecordBatch.from_arrays([part.column("hash").take(take), part.column("context").take(take),
                                                   pa.array(start.astype(np.int32)), pa.array(value.view(np.int64))],
-                                                 names=["hash", "key", "place", "start", "value"])
+                                                 names=["hash", "context", "start", "value"])
 
-    strings = found.mapInArrow(run, "hash bigint, key binary, place int, start int, value bigint")
+    strings = contexts.select("hash", "context", "left", "right").mapInArrow(run, "hash bigint, context bigint, start int, value bigint")
     same = ["hash", "start", "value"]
     twice = strings.groupBy(*same).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*same)
-    return strings.join(twice, same).groupBy("key", "place").agg(F.min("start").alias("_a"), F.max("start").alias("_b")).select(
-        "key", (F.col("place") + F.col("_a")).cast("bigint").alias("start"), (F.col("place") + F.col("_b") + length).cast("bigint").alias("end"))
+    return strings.join(twice, same).groupBy("hash", "context").agg(F.min("start").alias("low"), F.max("start").alias("high"))
+
+
+def repeated_spans(members: DataFrame, length: int, gram: int, hot_rows: int) -> DataFrame:
+    """(key, start, end): what repeats around each anchor of each text.  ``members``: a table as of ``members_of``."""
+    reach = length - gram
+    contexts = members.where("left is not null")
+    large = contexts.groupBy("hash").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select("hash")
+    if large.isEmpty():
+        starts = collection_starts(contexts, length, gram)
+    else:
+        hot = contexts.join(large, "hash", "left_semi").dropDuplicates(["hash", "context"])
+        starts = collection_starts(contexts.join(large, "hash", "left_anti"), length, gram).union(counted_starts(hot, length, gram))
+    rows = members.select("hash", "context", "key", "place", "n_left", "n_right")
+    several = rows.groupBy("hash", "context").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(
+        "hash", "context", F.lit(-reach).alias("low"), F.lit(0).alias("high"))
+    either = several.union(starts).groupBy("hash", "context").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    low = F.greatest(F.col("low"), -F.col("n_left"))
+    high = F.least(F.col("high"), F.col("n_right") - reach)
+    return (rows.join(either, ["hash", "context"]).where(low <= high)
+            .select("key", (F.col("place") + low).cast("bigint").alias("start"), (F.col("place") + high + length).cast("bigint").alias("end")))
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -325,15 +364,11 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     marks = surveyed.select("key", F.explode(F.arrays_zip("hashes", "places")).alias("m")).select(
         F.col("m.hashes").alias("hash"), "key", F.col("m.places").alias("place"))
     where = F.struct("key", "place")
-    shared = marks.groupBy("hash").agg(F.min(where).alias("_a"), F.max(where).alias("_b"), F.count(F.lit(1)).alias("_n")).where(
-        "_a <> _b").select("hash", (F.col("_n") > hot_rows).alias("hot"))
-    places = marks.join(shared, "hash").groupBy("key").agg(F.collect_set(F.struct("hash", "place", "hot")).alias("found"))
+    shared = marks.groupBy("hash").agg(F.min(where).alias("_a"), F.max(where).alias("_b")).where("_a <> _b").select("hash")
+    places = marks.join(shared, "hash").groupBy("key").agg(F.collect_set(F.struct("hash", "place")).alias("found"))
     affected, affected_path = written(_texts(docs, text_col, length).join(places, "key").dropDuplicates(["key"]), "texts")
-    usual = segments(affected.withColumn("found", F.filter("found", lambda f: ~f["hot"])), length, gram)
-    spans = collection_spans(usual, length, gram)
-    if not shared.where("hot").isEmpty():
-        hot = segments(affected.withColumn("found", F.filter("found", lambda f: f["hot"])), length, gram)
-        spans = spans.union(counted_spans(hot, length, gram))
+    members, members_path = written(members_of(affected, length, gram), "members")
+    spans = repeated_spans(members, length, gram, hot_rows)
     by_text = spans.groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
@@ -346,7 +381,7 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                        "runs array<struct<start:bigint,end:bigint>>, kept binary", keep=["key"])
     counts = surveyed.groupBy("key").agg(F.count(F.lit(1)).alias("copies"))
     documents = surveyed.select("doc_id", "key", "n_bytes", "sha256").join(counts, "key")
-    return documents, cuts, [surveyed_path, affected_path]
+    return documents, cuts, [surveyed_path, affected_path, members_path]
 
 
 def op3_repeats_bwt(spark, sf_dir: str) -> DataFrame:
