@@ -36,7 +36,7 @@ from textlab.llm.textkit import map_batches, mix64
 RATE = 0.1
 SEED = 20
 VARIANTS = 4
-MEMO_WORDS = 800_000
+MEMO_WORDS = 500_000
 BLANK = "▁"
 _NONE = np.int64(1) << np.int64(40)
 
@@ -209,13 +209,12 @@ def encode(docs: DataFrame, model_path: str, rate: float = RATE, seed: int = SEE
         if name not in _WORKER:
             _WORKER.clear()
             _WORKER[name] = Encoder(shared.value, rate, seed)
-        texts, chosen = batch.column(text_col).to_pylist(), batch.column("_variant").to_pylist()
         raw: list[bytes] = []
-        for a in range(0, len(texts), 256):
-            raw += _WORKER[name].encode(texts[a:a + 256], chosen[a:a + 256])
+        for a in range(0, batch.num_rows, 256):
+            raw += _WORKER[name].encode(batch.column(text_col).slice(a, 256).to_pylist(), batch.column("_variant").slice(a, 256).to_pylist())
         offsets = np.concatenate([[0], np.cumsum([len(r) // 4 for r in raw])]).astype(np.int32)
-        mask = pa.array([t is None for t in texts])
-        return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(raw), dtype="<i4")), mask=mask)]
+        return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(raw), dtype="<i4")),
+                                         mask=batch.column(text_col).is_null())]
 
     wanted = [c for c in (keep if keep is not None else docs.columns) if c != "_variant"]
     return map_batches(source, run, f"{ids_col} array<int>", keep=wanted)
@@ -229,7 +228,10 @@ def decode(rows: DataFrame, model_path: str, ids_col: str = "ids", text_col: str
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
         if not held:
             held.append(Decoder(shared.value))
-        return [pa.array([None if ids is None else held[0].decode(ids) for ids in batch.column(ids_col).to_pylist()], type=pa.string())]
+        lists = batch.column(ids_col)
+        offsets, values, missing = lists.offsets.to_numpy(), lists.values.to_numpy(), lists.is_null().to_pylist()
+        return [pa.array([None if none else held[0].decode(values[a:b].tolist())
+                          for none, a, b in zip(missing, offsets.tolist(), offsets[1:].tolist())], type=pa.string())]
 
     return map_batches(rows, run, f"`{text_col}` string", keep=keep)
 
