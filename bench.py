@@ -18,7 +18,7 @@ HEADLINE = [
     "mine_rules", "rule_baseline", "rule_predict", "tfidf", "vocabulary",
     "stratified_splits", "threshold_sweep", "attach_label_variants", "fleiss_kappa",
     "coder_vs_expert", "html_to_text", "html_to_md", "text_variants", "section_patterns",
-    "data_valuation", "label_issues", "smote",
+    "data_valuation", "label_issues", "smote", "variant_comparison", "pack_blocks", "trial_ranking",
 ]
 
 

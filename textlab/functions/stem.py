@@ -151,8 +151,3 @@ def stem_tokens(token_df: DataFrame, tokens_col: str = "tokens", out_col: str |
     rest = token_df.drop(out_col) if out_col in token_df.columns else token_df
     return rest.join(back, id_col, "left").withColumn(
         out_col, F.coalesce(F.col(out_col), F.array().cast("array<string>")))
-
-
-def stem_column(c: Column) -> Column:
-    """Per-row stemming of one word column (small tables only)."""
-    return stem_udf(c)

@@ -11,11 +11,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# The reference's description-format patterns (heading words).
-REFERENCE_SECTION_MARKERS = {"full": "Volltext", "short": "Kurztext", "goal": "Ziel und Gegenstand",
-                             "legal": "Rechtsgrundlage"}
-
-
 def _stack(pairs: Sequence[tuple[str, Sequence[str]]], names: Sequence[str]) -> Column:
     """stack(n, 'k1', a1, b1, 'k2', a2, b2, ...) AS (names...)."""
     args = ", ".join(f"'{k}', " + ", ".join(f"`{c}`" for c in cols) for k, cols in pairs)
