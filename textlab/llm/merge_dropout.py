@@ -36,7 +36,8 @@ from textlab.llm.textkit import map_batches, mix64
 RATE = 0.1
 SEED = 20
 VARIANTS = 4
-MEMO_WORDS = 500_000
+MEMO_WORDS = 300_000
+BATCH_ROWS = 1024
 BLANK = "▁"
 _NONE = np.int64(1) << np.int64(40)
 
@@ -217,7 +218,7 @@ def encode(docs: DataFrame, model_path: str, rate: float = RATE, seed: int = SEE
                                          mask=batch.column(text_col).is_null())]
 
     wanted = [c for c in (keep if keep is not None else docs.columns) if c != "_variant"]
-    return map_batches(source, run, f"{ids_col} array<int>", keep=wanted)
+    return map_batches(source, run, f"{ids_col} array<int>", keep=wanted, rows=BATCH_ROWS)
 
 
 def decode(rows: DataFrame, model_path: str, ids_col: str = "ids", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -233,7 +234,7 @@ def decode(rows: DataFrame, model_path: str, ids_col: str = "ids", text_col: str
         return [pa.array([None if none else held[0].decode(values[a:b].tolist())
                           for none, a, b in zip(missing, offsets.tolist(), offsets[1:].tolist())], type=pa.string())]
 
-    return map_batches(rows, run, f"`{text_col}` string", keep=keep)
+    return map_batches(rows, run, f"`{text_col}` string", keep=keep, rows=BATCH_ROWS)
 
 
 def op8_merge_dropout(spark, sf_dir: str) -> DataFrame:

@@ -147,10 +147,11 @@ def shingle_hashes(word_hash: np.ndarray, first: np.ndarray, size: int = SHINGLE
 
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], list[pa.Array]], added: str,
-                keep: list[str] | None = None) -> DataFrame:
+                keep: list[str] | None = None, rows: int | None = None) -> DataFrame:
     """``df``'s columns in ``keep`` (default: all) and the columns that ``fn`` computes for each Arrow batch.
 
-    A column of ``df`` with the name of an added one is replaced by it.  One pass, no shuffle.
+    A column of ``df`` with the name of an added one is replaced by it.  One pass, no shuffle.  With ``rows``, ``fn`` gets
+    at most so many rows at a time, which bounds what it holds.
     """
     new = T._parse_datatype_string(added)
     names = {f.name for f in new.fields}
@@ -159,8 +160,9 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], list[pa.Array]], a
     out_names, kept_names = [f.name for f in schema.fields], [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
+        for whole in batches:
+            for at in range(0, whole.num_rows, rows or max(whole.num_rows, 1)):
+                batch = whole.slice(at, rows) if rows else whole
                 made = fn(batch)
                 yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept_names] + list(made), names=out_names)
 
