@@ -15,6 +15,8 @@ from textlab.llm import near_dups, packing_swaps, pii_anchors, quality_nbsvm, re
 from textlab.llm.fitdata import id_fold
 from textlab.llm.tables import written
 
+REPEATED_WORDS = 51
+
 
 def _with_length(docs: DataFrame) -> DataFrame:
     """n_chars follows the text; a null text has null."""
@@ -37,8 +39,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Strings of 400 bytes that occur more than once are cut out of the texts."""
-    return _with_length(repeats_bwt.remove_repeats(docs))
+    """Strings of 400 bytes and runs of more than 50 words that occur more than once are cut out of the texts."""
+    return _with_length(repeats_bwt.remove_repeats(docs, words=REPEATED_WORDS))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

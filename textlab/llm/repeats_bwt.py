@@ -22,6 +22,10 @@ context; if a context has several members, all their strings repeat.  A collecti
 contexts would not fit a task.  Its contexts are counted instead by the hash of each of their strings that the anchor
 marks, an aggregation with partial sums, which gives the same starts.
 
+With ``words``, runs of so many words that occur more than once (words equal byte by byte, white space between them not
+compared) are removed too, however short they are in bytes.  They meet in the same way, by the run of ``WORD_GRAM`` words with
+the least hash; the runs at shared anchors are counted by their hashes, one context per distinct neighbourhood.
+
 Scale: whole texts are shuffled once, and only those with a shared anchor are kept.  Copies of a whole text collapse
 before that; they are removed entirely.  Everything else that moves is anchors and the bytes around shared ones.
 
@@ -41,10 +45,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textlab.llm.tables import written
-from textlab.llm.textkit import map_batches, pieces, prefix_hash, span_hash, utf8_buffer
+from textlab.llm.textkit import Words, map_batches, pieces, prefix_hash, run_prefix, span_hash, utf8_buffer
 
 LENGTH = 400
 GRAM = 200
+WORD_GRAM = 26
 HOT_ROWS = 40_000
 BLOCK_ROWS = 16_384
 _LOW = np.uint64(0xFFFFFFFF)
@@ -52,11 +57,18 @@ _LOW = np.uint64(0xFFFFFFFF)
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions (in the buffer, ascending) of all strings' anchors, and their 64-bit hashes."""
-    n, span = len(data), length - gram + 1
-    if n < length:
+    if len(data) < length:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
-    at = np.arange(n - gram + 1)
+    at = np.arange(len(data) - gram + 1)
     hashes = span_hash(prefix_hash(data), at, at + gram)
+    where = np.unique(anchor_of_each(hashes, offsets, length, gram)[1])
+    return where, hashes[where]
+
+
+def anchor_of_each(hashes: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of all strings that lie inside a text, and their anchors.  ``hashes``: of the gram at every place."""
+    n, span = len(hashes) + gram - 1, length - gram + 1
+    at = np.arange(len(hashes))
     order = (hashes & ~_LOW) | at.astype(np.uint64)  # equal hashes: leftmost
     blocks = -(-len(order) // span)
     padded = np.full(blocks * span, np.uint64(0xFFFFFFFFFFFFFFFF))
@@ -68,18 +80,35 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tu
     least = np.minimum(from_here[:starts], to_here[span - 1:span - 1 + starts])
     row_end = np.repeat(offsets[1:], np.diff(offsets))
     inside = np.arange(starts) + length <= row_end[:starts]
-    picked = np.zeros(n, dtype=bool)
-    picked[(least[inside] & _LOW).astype(np.int64)] = True
-    where = np.flatnonzero(picked)
-    return where, hashes[where]
+    return np.flatnonzero(inside), (least[inside] & _LOW).astype(np.int64)
+
+
+def word_anchors(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts' words, the prefix of their hashes, the first word of every run of ``words`` words, and its anchor (a word
+    number); the last are the hashes of the grams."""
+    w = Words(data, offsets)
+    none = np.zeros(0, dtype=np.int64)
+    if len(w.start) < words:
+        return w, none, none, none, none.astype(np.uint64)
+    prefix = run_prefix(span_hash(prefix_hash(data), w.start, w.end))
+    gram = min(WORD_GRAM, words)
+    at = np.arange(len(w.start) - gram + 1)
+    hashes = mark_words(span_hash(prefix, at, at + gram))
+    return w, prefix, *anchor_of_each(hashes, w.first, words, gram), hashes
+
+
+def mark_words(hashes: np.ndarray) -> np.ndarray:
+    """Hashes of grams of words, told from those of bytes."""
+    return hashes ^ np.uint64(0x5851F42D4C957F2D)
 
 
 def _key(raw: bytes) -> bytes:
     return hashlib.blake2b(raw, digest_size=16).digest()
 
 
-def survey(docs: DataFrame, id_col: str, text_col: str, length: int, gram: int) -> DataFrame:
-    """One row per document: doc_id, key (digest of the text), n_bytes, sha256, and its anchors as arrays."""
+def survey(docs: DataFrame, id_col: str, text_col: str, length: int, gram: int, words: int | None = None) -> DataFrame:
+    """One row per document: doc_id, key (digest of the text), n_bytes, n_words (0 without ``words``), sha256, and its anchors
+    as arrays; the place of an anchor of words is -1 - the word's number."""
     source = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").alias("_text"))
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
@@ -88,20 +117,32 @@ def survey(docs: DataFrame, id_col: str, text_col: str, length: int, gram: int)
         bounds = offsets.tolist()
         keys = [_key(raw[a:b]) for a, b in zip(bounds, bounds[1:])]
         shas = [hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(bounds, bounds[1:])]
-        places, hashes, counts = [], [], []
+        places, hashes, counts, n_words = [], [], [], []
         for a, b in pieces(offsets):
             local = offsets[a:b + 1] - offsets[a]
             where, found = anchors(data[offsets[a]:offsets[b]], local, length, gram)
             row = np.searchsorted(local, where, side="right") - 1
-            places.append(where - local[row])
+            place = where - local[row]
+            if words:
+                w, _, _, anchor, of_gram = word_anchors(data[offsets[a]:offsets[b]], local, words)
+                anchor = np.unique(anchor)
+                row = np.concatenate([row, w.row[anchor]])
+                place = np.concatenate([place, -1 - (anchor - w.first[w.row[anchor]])])
+                found = np.concatenate([found, of_gram[anchor]])
+                order = np.argsort(row, kind="stable")
+                row, place, found = row[order], place[order], found[order]
+                n_words.append(np.diff(w.first))
+            else:
+                n_words.append(np.zeros(b - a, dtype=np.int64))
+            places.append(place)
             hashes.append(found)
             counts.append(np.bincount(row, minlength=b - a))
         offs = pa.array(np.concatenate([[0], np.cumsum(np.concatenate(counts))]).astype(np.int32))
-        return [pa.array(keys, type=pa.binary()), pa.array(np.diff(offsets)), pa.array(shas),
+        return [pa.array(keys, type=pa.binary()), pa.array(np.diff(offsets)), pa.array(np.concatenate(n_words)), pa.array(shas),
                 pa.ListArray.from_arrays(offs, pa.array(np.concatenate(hashes).view(np.int64))),
                 pa.ListArray.from_arrays(offs, pa.array(np.concatenate(places).astype(np.int32)))]
 
-    return map_batches(source, run, "key binary, n_bytes bigint, sha256 string, hashes array<bigint>, places array<int>",
+    return map_batches(source, run, "key binary, n_bytes bigint, n_words bigint, sha256 string, hashes array<bigint>, places array<int>",
                        keep=["doc_id"])
 
 
@@ -140,6 +181,8 @@ def members_of(affected: DataFrame, length: int, gram: int) -> DataFrame:
             for key, text, found in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist(), batch.column("found").to_pylist()):
                 for f in found:
                     p, anchor = f["place"], f["hash"]
+                    if p < 0:
+                        continue  # an anchor of words
                     left, right = text[max(0, p - reach):p], text[p + gram:p + gram + reach]
                     digest = hashlib.blake2b(left + right, digest_size=8, salt=len(left).to_bytes(8, "little")).digest()
                     context = int.from_bytes(digest, "little", signed=True)
@@ -334,6 +377,58 @@ def repeated_spans(members: DataFrame, length: int, gram: int, hot_rows: int) ->
             .select("key", (F.col("place") + low).cast("bigint").alias("start"), (F.col("place") + high + length).cast("bigint").alias("end")))
 
 
+_RUNS = "hash bigint, context bigint, key binary, first int, n int, values array<bigint>"
+
+
+def word_members(affected: DataFrame, words: int) -> DataFrame:
+    """One row per text and shared anchor of words: the number ``first`` of the first of its ``n`` runs that have this anchor,
+    their hashes as ``values``, and a hash of these as ``context``.  A task gives the values of a context once, null after that."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
+        for batch in batches:
+            data, offsets = utf8_buffer(batch.column("text"))
+            keys, found = batch.column("key").to_pylist(), batch.column("found").to_pylist()
+            for a, b in pieces(offsets):
+                w, prefix, start, anchor, of_gram = word_anchors(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], words)
+                shared = [first - 1 - f["place"] for first, fs in zip(w.first.tolist(), found[a:b]) for f in fs if f["place"] < 0]
+                here = np.isin(anchor, np.array(shared, dtype=np.int64))
+                start, anchor = start[here], anchor[here]
+                if not len(start):
+                    continue
+                value = span_hash(prefix, start, start + words).view(np.int64)
+                cuts = np.flatnonzero(np.append(True, np.append(anchor[1:] != anchor[:-1], True)))
+                raw, rows = value.tobytes(), []
+                row = w.row[start[cuts[:-1]]]
+                grams = of_gram[anchor[cuts[:-1]]].view(np.int64)
+                for i, j, r, first, gram in zip(cuts.tolist(), cuts[1:].tolist(), row.tolist(), (start[cuts[:-1]] - w.first[row]).tolist(), grams.tolist()):
+                    context = int.from_bytes(hashlib.blake2b(raw[i * 8:j * 8], digest_size=8).digest(), "little", signed=True)
+                    new = (gram, context) not in seen
+                    if new:
+                        if len(seen) >= 200_000:
+                            seen.clear()  # values given twice count once, by their context
+                        seen.add((gram, context))
+                    rows.append((gram, context, keys[a + r], first, j - i, value[i:j] if new else None))
+                types = (pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), types)],
+                                                 names=[f.split()[0] for f in _RUNS.split(", ")])
+
+    return affected.where(F.exists("found", lambda f: f["place"] < 0)).mapInArrow(run, _RUNS)
+
+
+def repeated_words(members: DataFrame, words: int) -> DataFrame:
+    """(key, start, end): runs of at least ``words`` words that repeat, in numbers of words.  ``members``: a table as of
+    ``word_members``."""
+    runs = members.where("values is not null").select("hash", "context", F.posexplode("values").alias("at", "value"))
+    twice = runs.groupBy("value").agg(F.min("context").alias("_a"), F.max("context").alias("_b")).where("_a <> _b").select("value")
+    among = runs.join(twice, "value").groupBy("hash", "context").agg(F.min("at").alias("low"), F.max("at").alias("high"))
+    rows = members.select("hash", "context", "key", "first", "n")
+    several = rows.groupBy("hash", "context").agg(F.count(F.lit(1)).alias("_n"), F.max("n").alias("n")).where("_n > 1").select(
+        "hash", "context", F.lit(0).alias("low"), (F.col("n") - 1).alias("high"))
+    either = several.union(among).groupBy("hash", "context").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    return rows.join(either, ["hash", "context"]).select(
+        "key", (F.col("first") + F.col("low")).cast("bigint").alias("start"), (F.col("first") + F.col("high") + words).cast("bigint").alias("end"))
+
+
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Maximal runs covered by ``spans``."""
     out: list[list[int]] = []
@@ -354,25 +449,43 @@ def _cut(text: bytes, runs: list[tuple[int, int]]) -> bytes:
 
 
 def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
-                 hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame, list[str]]:
+                 hot_rows: int = HOT_ROWS, words: int | None = None) -> tuple[DataFrame, DataFrame, list[str]]:
     """(documents, cuts, folders to discard after use).
 
-    documents: doc_id, key, n_bytes, sha256, copies (how many rows have this text).  cuts: key, runs (array of struct
+    documents: doc_id, key, n_bytes, n_words, sha256, copies (how many rows have this text).  cuts: key, runs (array of struct
     start, end), kept (the remaining bytes) for texts that occur once and lose something.
     """
-    surveyed, surveyed_path = written(survey(docs, id_col, text_col, length, gram), "anchors")
+    surveyed, surveyed_path = written(survey(docs, id_col, text_col, length, gram, words), "anchors")
     marks = surveyed.select("key", F.explode(F.arrays_zip("hashes", "places")).alias("m")).select(
         F.col("m.hashes").alias("hash"), "key", F.col("m.places").alias("place"))
     where = F.struct("key", "place")
     shared = marks.groupBy("hash").agg(F.min(where).alias("_a"), F.max(where).alias("_b")).where("_a <> _b").select("hash")
     places = marks.join(shared, "hash").groupBy("key").agg(F.collect_set(F.struct("hash", "place")).alias("found"))
-    affected, affected_path = written(_texts(docs, text_col, length).join(places, "key").dropDuplicates(["key"]), "texts")
+    affected, affected_path = written(_texts(docs, text_col, min(length, 2 * words - 1) if words else length).join(places, "key").dropDuplicates(["key"]), "texts")
     members, members_path = written(members_of(affected, length, gram), "members")
     spans = repeated_spans(members, length, gram, hot_rows)
     by_text = spans.groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    paths = [surveyed_path, affected_path, members_path]
+    if words:
+        found, path = written(word_members(affected, words), "runs")
+        paths.append(path)
+        spans = spans.withColumn("_words", F.lit(False)).union(repeated_words(found, words).withColumn("_words", F.lit(True)))
+        span = F.struct("start", "end")
+        by_text = spans.groupBy("key").agg(F.collect_list(F.when(~F.col("_words"), span)).alias("spans"),
+                                           F.collect_list(F.when(F.col("_words"), span)).alias("word_spans"))
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
-        runs = [merged([(s["start"], s["end"]) for s in spans]) for spans in batch.column("spans").to_pylist()]
+        spans = [[(s["start"], s["end"]) for s in found] for found in batch.column("spans").to_pylist()]
+        if words:
+            data, offsets = utf8_buffer(batch.column("text"))
+            of_words = batch.column("word_spans").to_pylist()
+            for a, b in pieces(offsets):
+                local = offsets[a:b + 1] - offsets[a]
+                w = Words(data[offsets[a]:offsets[b]], local)
+                for i in range(b - a):
+                    start, end = w.start[w.first[i]:w.first[i + 1]], w.end[w.first[i]:w.first[i + 1]]
+                    spans[a + i] += [(int(start[s["start"]] - local[i]), int(end[s["end"] - 1] - local[i])) for s in of_words[a + i]]
+        runs = [merged(s) for s in spans]
         kept = [_cut(text, r) for text, r in zip(batch.column("text").to_pylist(), runs)]
         item = pa.struct([("start", pa.int64()), ("end", pa.int64())])
         return [pa.array([[{"start": a, "end": b} for a, b in r] for r in runs], type=pa.list_(item)), pa.array(kept, type=pa.binary())]
@@ -380,8 +493,8 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     cuts = map_batches(affected.select("key", "text").join(by_text, "key"), run,
                        "runs array<struct<start:bigint,end:bigint>>, kept binary", keep=["key"])
     counts = surveyed.groupBy("key").agg(F.count(F.lit(1)).alias("copies"))
-    documents = surveyed.select("doc_id", "key", "n_bytes", "sha256").join(counts, "key")
-    return documents, cuts, [surveyed_path, affected_path, members_path]
+    documents = surveyed.select("doc_id", "key", "n_bytes", "n_words", "sha256").join(counts, "key")
+    return documents, cuts, paths
 
 
 def op3_repeats_bwt(spark, sf_dir: str) -> DataFrame:
@@ -404,10 +517,12 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", **options) -> DataFr
     Bytes of a character that a cut splits go too, so the text stays valid UTF-8.  A text whose copies make it repeated
     as a whole becomes empty.
     """
-    length = options.get("length", LENGTH)
+    long_enough = F.col("n_bytes") >= options.get("length", LENGTH)
+    if options.get("words"):
+        long_enough |= F.col("n_words") >= options["words"]
     keyed = map_batches(docs, lambda batch: [_key_column(batch.column(text_col))], "_key binary")
     documents, cuts, _ = find_repeats(docs.withColumn("_row", F.lit(0).cast("bigint")), id_col="_row", text_col=text_col, **options)
-    whole = documents.where(F.col("copies") > 1).where(F.col("n_bytes") >= length).select(F.col("key").alias("_key")).distinct()
+    whole = documents.where(F.col("copies") > 1).where(long_enough).select(F.col("key").alias("_key")).distinct()
     change = cuts.select(F.col("key").alias("_key"), F.col("kept").alias("_kept")).join(whole, "_key", "left_anti").union(
         whole.select("_key", F.lit(b"").alias("_kept")))
     joined = keyed.join(change, "_key", "left")

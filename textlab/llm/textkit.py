@@ -72,6 +72,13 @@ def prefix_hash(data: np.ndarray, lower: bool = False) -> np.ndarray:
     return out
 
 
+def run_prefix(values: np.ndarray) -> np.ndarray:
+    """The same for runs of 64-bit ``values``, e.g. hashes of words."""
+    out = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum(values * _powers(len(values) + 1)[0][:len(values)], out=out[1:])
+    return out
+
+
 def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     _, inv = _powers(len(prefix))
     return mix64((prefix[ends] - prefix[starts]) * inv[starts] + np.uint64(0x632BE59BD9B4E019))
