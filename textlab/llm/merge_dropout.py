@@ -2,14 +2,16 @@
 
 A merge-type (BPE) SentencePiece model starts from a text's characters and keeps merging the neighbouring pair whose
 union is the best-scored piece, the leftmost of equal ones, until no union of neighbours is a piece.  With dropout, each
-candidate merge is decided once, when it comes onto the agenda: a keyed hash of (seed, variant, word, place of its left,
-middle and right edge) below ``rate`` skips it for good.  So one key gives one segmentation, on any machine and in any
-order of rows, and other keys give others; without dropout the result is the library's own.  A document's variant is the
-hash of its id modulo ``VARIANTS``.
+candidate merge is decided once, when it comes onto the agenda: a keyed hash of (seed, document, position and bytes of the
+word, place of its left, middle and right edge) below ``rate`` skips it for good.  So one key gives one segmentation, on any
+machine and in any order of rows, and every occurrence of a word is cut on its own; without dropout the result is the
+library's own.  The document enters by its id, or by its text where it has none.
 
-No piece holds a blank mark after another character, so blanks with the word after them segment on their own.  Each
-worker remembers the segmentation of words it has met under a variant (bounded), and new words are merged many at a time:
-every round makes each word's best remaining merge.
+No piece holds a blank mark after another character, so blanks with the word after them segment on their own.  A word's
+segmentation depends on nothing but which of its possible merges are dropped.  These are hashed for every occurrence, and
+each worker remembers the segmentation of (word, set of dropped merges), bounded; new ones are merged many at a time: every
+round makes each word's best remaining merge.  Rare words and those of many symbols or possible merges are merged at every
+occurrence.
 
 Characters that are no piece become their bytes' pieces.  The blank mark character itself, if a text holds it, becomes
 its bytes too, so decoding always gives back the text.
@@ -35,10 +37,14 @@ from textlab.llm.textkit import map_batches, mix64
 
 RATE = 0.1
 SEED = 20
-VARIANTS = 4
 MEMO_WORDS = 300_000
 BATCH_ROWS = 1024
+CHUNK_WORDS = 1 << 15
+MEMO_SYMBOLS = 24
+LEARN_TIMES = 8
+_BITS = 44  # of a set of dropped merges; the word's number takes the rest
 BLANK = "▁"
+_NO_PIECE = "\udfff"  # stands for a byte of a character that is no piece
 _NONE = np.int64(1) << np.int64(40)
 
 
@@ -59,6 +65,7 @@ class PieceTables:
             if model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i):
                 special.add(i)
         self.normal = {p: i for i, p in enumerate(self.pieces) if i not in special}
+        self.longest = max(map(len, self.normal))
         self.single = {p: i for p, i in self.normal.items() if len(p) == 1 and p != BLANK}
         # All pairs of pieces whose union is a piece, in order of their key left * n + right; a better score is a lower rank.
         order = {i: r for r, i in enumerate(sorted(self.normal.values(), key=lambda i: (-model.get_score(i), i)))}
@@ -141,12 +148,65 @@ def merge_words(tables: PieceTables, symbol: np.ndarray, sizes: np.ndarray, keys
     return ids[order].astype("<i4"), np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(sizes)))])
 
 
+def possible_merges(tables: PieceTables, word: str) -> list[tuple[int, int, int]] | None:
+    """(begin, middle, end) of all merges of ``word``'s symbols that may come onto the agenda under some dropout; None if
+    there are too many to remember."""
+    symbols = "".join(BLANK if c == " " else c if c in tables.single else _NO_PIECE * len(c.encode("utf-8", "surrogatepass")) for c in word)
+    n = len(symbols)
+    if n > MEMO_SYMBOLS:
+        return None
+    reached = {(i, i + 1) for i in range(n)}
+    out = []
+    for size in range(2, min(n, tables.longest) + 1):
+        for b in range(n - size + 1):
+            e = b + size
+            if symbols[b:e] in tables.normal:
+                found = [(b, m, e) for m in range(b + 1, e) if (b, m) in reached and (m, e) in reached]
+                if found:
+                    reached.add((b, e))
+                    out += found
+    return out if len(out) <= _BITS else None
+
+
 class Encoder:
-    """``encode(texts, variants)``: ids of each text as bytes (little-endian int32)."""
+    """``encode(texts, documents)``: ids of each text as bytes (little-endian int32); ``documents`` are the texts' keys."""
 
     def __init__(self, tables: PieceTables, rate: float = RATE, seed: int = SEED, memo_words: int = MEMO_WORDS):
         self.tables, self.rate, self.seed, self.memo_words = tables, rate, seed, memo_words
-        self.memos: dict[int, dict[str, bytes]] = {}
+        self.limit = np.uint64(min(int(rate * 2.0 ** 64), (1 << 64) - 1))
+        self.memo: dict[int, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.memo.clear()
+        self.number: dict[str, int] = {}
+        # Of each word: its hash, how often it came, where its possible merges begin among the places, and how many there
+        # are (-1: not known yet, -2: too many).
+        self.known: list[str] = []
+        self.hash = np.zeros(1024, dtype=np.uint64)
+        self.times, self.begin, self.count = (np.zeros(1024, dtype=np.int64) for _ in range(3))
+        self.places, self.n_places = np.zeros(8192, dtype=np.uint64), 0
+
+    def _meet(self, words: list[str]) -> None:
+        at, n = len(self.known), len(words)
+        self.known += words
+        self.number.update(zip(words, range(at, at + n)))
+        self.hash, self.times, self.begin, self.count = (_room(x, at + n) for x in (self.hash, self.times, self.begin, self.count))
+        self.hash[at:at + n] = [zlib.crc32(w.encode()) << 32 | zlib.adler32(w.encode()) for w in words]
+        self.count[at:at + n] = -1 if self.rate > 0 else 0
+
+    def _learn(self, numbers: np.ndarray) -> None:
+        places, counts = [], []
+        for i in numbers.tolist():
+            merges = possible_merges(self.tables, " " + self.known[i])
+            counts.append(-2 if merges is None else len(merges))
+            places += [b << 42 ^ m << 21 ^ e for b, m, e in merges or []]
+        self.count[numbers] = counts
+        some = np.maximum(self.count[numbers], 0)
+        self.begin[numbers] = self.n_places + np.cumsum(some) - some
+        self.places = _room(self.places, self.n_places + len(places))
+        self.places[self.n_places:self.n_places + len(places)] = mix64(np.array(places, dtype=np.uint64))
+        self.n_places += len(places)
 
     def _parts(self, text: str) -> list[str]:
         """The text's words, each with the blanks before it; the first has the one blank that encoding adds."""
@@ -162,25 +222,61 @@ class Encoder:
                 blanks += 1
         return out
 
-    def encode(self, texts: list[str], variants: list[int]) -> list[bytes]:
-        split = [self._parts(t) if t else [] for t in texts]
-        new: dict[tuple[int, str], None] = {}
-        if sum(map(len, self.memos.values())) > self.memo_words:
-            self.memos.clear()
-        for parts, v in zip(split, variants):
-            memo = self.memos.setdefault(v, {})
-            new.update(dict.fromkeys((v, w) for w in parts if w not in memo))
-        todo = list(new)
-        for at in range(0, len(todo), 10_000):
-            some = todo[at:at + 10_000]
-            keys = np.array([zlib.crc32(w.encode()) << 32 | zlib.adler32(w.encode()) for _, w in some], dtype=np.uint64)
-            variant = np.array([v for v, _ in some], dtype=np.uint64)
-            keys = mix64(keys + mix64(variant + np.uint64(self.seed * 1_000_003 % (1 << 64))))
-            ids, offsets = merge_words(self.tables, *self.tables.symbols([" " + w for _, w in some]), keys, self.rate)
+    def _pieces(self, words: list[str], keys: np.ndarray) -> list[bytes]:
+        """Ids of words; ``keys`` stand for their documents and positions."""
+        if len(self.memo) > self.memo_words or len(self.number) > self.memo_words:
+            self._forget()
+        new = [w for w in dict.fromkeys(words) if w not in self.number]
+        if new:
+            self._meet(new)
+        number = np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words))
+        self.times[:len(self.known)] += np.bincount(number, minlength=len(self.known))
+        due = np.flatnonzero((self.times >= LEARN_TIMES) & (self.count == -1))
+        if len(due):
+            self._learn(due)
+        keys = mix64(keys + self.hash[number])
+        count = np.maximum(self.count[number], 0)
+        first = np.cumsum(count) - count
+        owner = np.repeat(np.arange(len(words)), count)
+        bit = np.arange(len(owner)) - first[owner]
+        dropped = np.flatnonzero(mix64(keys[owner] + self.places[self.begin[number][owner] + bit]) < self.limit)
+        # Sums of different powers of two below 2^44 are exact.
+        mask = np.bincount(owner[dropped], weights=np.exp2(bit[dropped]), minlength=len(words)).astype(np.int64)
+        cases = ((number << _BITS) | mask).tolist()
+        always = np.flatnonzero(self.count[number] < 0)
+        for i in always.tolist():
+            cases[i] = -1 - i  # not remembered
+        todo = {c: i for i, c in enumerate(cases) if c not in self.memo}
+        made: dict[int, bytes] = {}
+        order = list(todo.items())
+        for at in range(0, len(order), 10_000):
+            some = order[at:at + 10_000]
+            ids, offsets = merge_words(self.tables, *self.tables.symbols([" " + words[i] for _, i in some]), keys[[i for _, i in some]], self.rate)
             raw, bounds = ids.tobytes(), (offsets * 4).tolist()
-            for (v, w), a, b in zip(some, bounds, bounds[1:]):
-                self.memos[v][w] = raw[a:b]
-        return [b"".join(map(self.memos[v].__getitem__, parts)) for parts, v in zip(split, variants)]
+            for (c, _), a, b in zip(some, bounds, bounds[1:]):
+                (made if c < 0 else self.memo)[c] = raw[a:b]
+        if not made:
+            return list(map(self.memo.__getitem__, cases))
+        return [made[c] if c < 0 else self.memo[c] for c in cases]
+
+    def encode(self, texts: list[str], documents: list[int]) -> list[bytes]:
+        split = [self._parts(t) if t else [] for t in texts]
+        sizes = np.array([len(parts) for parts in split], dtype=np.int64)
+        ends = np.cumsum(sizes)
+        document = mix64(np.array([d % (1 << 64) for d in documents], dtype=np.uint64) + np.uint64(self.seed * 1_000_003 % (1 << 64)))
+        words = [w for parts in split for w in parts]
+        done: list[bytes] = []
+        for at in range(0, len(words), CHUNK_WORDS):
+            index = np.arange(at, min(at + CHUNK_WORDS, len(words)))
+            text = np.searchsorted(ends, index, side="right")
+            position = (index - (ends - sizes)[text]).astype(np.uint64)
+            done += self._pieces(words[at:at + CHUNK_WORDS], mix64(document[text] + mix64(position)))
+        return [b"".join(done[b - n:b]) for b, n in zip(ends.tolist(), sizes.tolist())]
+
+
+def _room(array: np.ndarray, size: int) -> np.ndarray:
+    """``array`` with place for ``size`` values at least."""
+    return array if size <= len(array) else np.concatenate([array, np.zeros(max(size, 2 * len(array)) - len(array), dtype=array.dtype)])
 
 
 class Decoder:
@@ -199,12 +295,14 @@ class Decoder:
 _WORKER: dict[tuple, Encoder] = {}
 
 
-def encode(docs: DataFrame, model_path: str, rate: float = RATE, seed: int = SEED, variants: int = VARIANTS, id_col: str = "doc_id",
+def encode(docs: DataFrame, model_path: str, rate: float = RATE, seed: int = SEED, id_col: str = "doc_id",
            text_col: str = "text", keep: list[str] | None = None, ids_col: str = "ids") -> DataFrame:
     """``docs`` with ``ids_col`` (array<int>): each whole text's piece ids.  The model file is read on the driver."""
     shared = docs.sparkSession.sparkContext.broadcast(PieceTables(model_path))
     name = (hashlib.sha256(open(model_path, "rb").read()).hexdigest(), rate, seed)
-    source = docs.withColumn("_variant", F.pmod(F.xxhash64(F.col(f"`{id_col}`").cast("string"), F.lit(seed)), F.lit(variants)).cast("int"))
+    of_text = F.xxhash64(F.lit("text"), F.col(f"`{text_col}`"), F.lit(seed))
+    source = docs.withColumn("_document", F.when(F.col(f"`{id_col}`").isNull(), of_text).otherwise(
+        F.xxhash64(F.col(f"`{id_col}`").cast("string"), F.lit(seed))))
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
         if name not in _WORKER:
@@ -212,12 +310,12 @@ def encode(docs: DataFrame, model_path: str, rate: float = RATE, seed: int = SEE
             _WORKER[name] = Encoder(shared.value, rate, seed)
         raw: list[bytes] = []
         for a in range(0, batch.num_rows, 256):
-            raw += _WORKER[name].encode(batch.column(text_col).slice(a, 256).to_pylist(), batch.column("_variant").slice(a, 256).to_pylist())
+            raw += _WORKER[name].encode(batch.column(text_col).slice(a, 256).to_pylist(), batch.column("_document").slice(a, 256).to_pylist())
         offsets = np.concatenate([[0], np.cumsum([len(r) // 4 for r in raw])]).astype(np.int32)
         return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(raw), dtype="<i4")),
                                          mask=batch.column(text_col).is_null())]
 
-    wanted = [c for c in (keep if keep is not None else docs.columns) if c != "_variant"]
+    wanted = [c for c in (keep if keep is not None else docs.columns) if c != "_document"]
     return map_batches(source, run, f"{ids_col} array<int>", keep=wanted, rows=BATCH_ROWS)
 
 
