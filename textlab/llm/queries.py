@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from textlab.llm.ann_forest import op4_ann_forest
 from textlab.llm.fingerprints_oph import op2_fingerprints_oph
 from textlab.llm.merge_dropout import op8_merge_dropout
+from textlab.llm.merkle_intervals import SQL as MERKLE_SQL
+from textlab.llm.merkle_intervals import op11_merkle_intervals
 from textlab.llm.near_dups import op7_near_dups
 from textlab.llm.packing_swaps import op5_packing_swaps
 from textlab.llm.pii_anchors import op9_pii_anchors
@@ -28,6 +30,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing_swaps": op5_packing_swaps,
     "op9_pii_anchors": op9_pii_anchors,
     "op10_quality_nbsvm": op10_quality_nbsvm,
+    "op11_merkle_intervals": op11_merkle_intervals,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op11_merkle_intervals": MERKLE_SQL,
+}
