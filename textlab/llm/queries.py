@@ -11,6 +11,8 @@ from textlab.llm.fingerprints_oph import op2_fingerprints_oph
 from textlab.llm.merge_dropout import op8_merge_dropout
 from textlab.llm.merkle_intervals import SQL as MERKLE_SQL
 from textlab.llm.merkle_intervals import op11_merkle_intervals
+from textlab.llm.mix_schedule import SQL as MIX_SQL
+from textlab.llm.mix_schedule import op12_mix_schedule
 from textlab.llm.near_dups import op7_near_dups
 from textlab.llm.packing_swaps import op5_packing_swaps
 from textlab.llm.pii_anchors import op9_pii_anchors
@@ -31,8 +33,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pii_anchors": op9_pii_anchors,
     "op10_quality_nbsvm": op10_quality_nbsvm,
     "op11_merkle_intervals": op11_merkle_intervals,
+    "op12_mix_schedule": op12_mix_schedule,
 }
 
 SQL: dict[str, str] = {
     "op11_merkle_intervals": MERKLE_SQL,
+    "op12_mix_schedule": MIX_SQL,
 }
