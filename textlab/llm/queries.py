@@ -15,6 +15,8 @@ from textlab.llm.mix_schedule import SQL as MIX_SQL
 from textlab.llm.mix_schedule import op12_mix_schedule
 from textlab.llm.near_dups import op7_near_dups
 from textlab.llm.packing_swaps import op5_packing_swaps
+from textlab.llm.phrases_streams import SQL as PHRASES_SQL
+from textlab.llm.phrases_streams import op13_phrases_streams
 from textlab.llm.pii_anchors import op9_pii_anchors
 from textlab.llm.quality_nbsvm import op10_quality_nbsvm
 from textlab.llm.repeats_bwt import op3_repeats_bwt
@@ -34,9 +36,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_nbsvm": op10_quality_nbsvm,
     "op11_merkle_intervals": op11_merkle_intervals,
     "op12_mix_schedule": op12_mix_schedule,
+    "op13_phrases_streams": op13_phrases_streams,
 }
 
 SQL: dict[str, str] = {
     "op11_merkle_intervals": MERKLE_SQL,
     "op12_mix_schedule": MIX_SQL,
+    "op13_phrases_streams": PHRASES_SQL,
 }
