@@ -77,7 +77,7 @@ def test_a_full_filter_changes_nothing(spark, monkeypatch):
 
 
 def test_filter_has_every_key():
-    keys = P._keys(pa.array([f"key {i}" for i in range(500)]), np.zeros(500, dtype=np.uint64))
+    keys = P._phrase_keys(pa.array([f"key {i}" for i in range(500)]), np.zeros(500, dtype=np.uint64))
     bits = np.zeros(1 << 13, dtype=bool)
     for p in P.Bloom.places(keys, 13):
         bits[p] = True

@@ -69,15 +69,30 @@ class Bloom:
         return out
 
 
-def _keys(strings: pa.Array, lang: np.ndarray) -> np.ndarray:
-    """64-bit keys of phrases; ``lang`` holds a 64-bit number for each one's language."""
-    data, offsets = utf8_buffer(strings)
-    return mix64(span_hash(prefix_hash(data), offsets[:-1], offsets[1:]) ^ lang)
+def _word_hashes(words: pa.Array) -> np.ndarray:
+    data, offsets = utf8_buffer(words)
+    out = np.zeros(len(offsets) - 1, dtype=np.uint64)
+    for a, b in pieces(offsets):
+        at = offsets[a:b + 1] - offsets[a]
+        out[a:b] = span_hash(prefix_hash(data[offsets[a]:offsets[b]]), at[:-1], at[1:])
+    return out
+
+
+def _keys(lang: np.ndarray, first: np.ndarray, second: np.ndarray | None = None) -> np.ndarray:
+    """64-bit keys of words or pairs, from the hashes of their words and the number of their language."""
+    both = first if second is None else first * np.uint64(0x9E3779B97F4A7C15) + mix64(second)
+    return mix64(both ^ lang)
+
+
+def _phrase_keys(phrases: pa.Array, lang: np.ndarray) -> np.ndarray:
+    """The keys of phrases of one word or of two, all of them alike."""
+    words = pc.split_pattern(phrases, " ")
+    hashes = _word_hashes(words.flatten()).reshape(len(phrases), -1) if len(phrases) else np.zeros((0, 1), dtype=np.uint64)
+    return _keys(lang, *hashes.T)
 
 
 def _lang_numbers(langs: pa.Array) -> np.ndarray:
-    data, offsets = utf8_buffer(langs)
-    return mix64(span_hash(prefix_hash(data), offsets[:-1], offsets[1:]) + np.uint64(1))
+    return mix64(_word_hashes(langs) + np.uint64(1))
 
 
 def bloom_of(phrases: DataFrame) -> Bloom:
@@ -87,7 +102,7 @@ def bloom_of(phrases: DataFrame) -> Bloom:
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            both = np.unique(np.concatenate(Bloom.places(_keys(b.column(1), _lang_numbers(b.column(0))), bits)))
+            both = np.unique(np.concatenate(Bloom.places(_phrase_keys(b.column(1), _lang_numbers(b.column(0))), bits)))
             yield pa.RecordBatch.from_arrays([pa.array((both >> np.uint64(6)).astype(np.int64)),
                                               pa.array((np.uint64(1) << (both & np.uint64(63))).view(np.int64))], names=["at", "bit"])
 
@@ -117,7 +132,7 @@ class _Piece:
         start, stop = np.flatnonzero(starts), np.flatnonzero(stops)
         row = np.searchsorted(offsets, start, side="right") - 1
         self.lang = lang[row]
-        breaks = np.cumsum(_BREAK[data], dtype=np.int64)[start] if n else np.zeros(0, dtype=np.int64)
+        breaks = np.cumsum(_BREAK[data], dtype=np.int32 if n < 1 << 31 else np.int64)[start]
         self.ends = np.ones(len(start), dtype=bool)
         self.ends[:-1] = (np.diff(breaks) != 0) | (np.diff(row) != 0)
         ends = np.concatenate([[0], np.cumsum(stop - start)])
@@ -155,7 +170,8 @@ def _count_piece(piece: _Piece, langs: np.ndarray, sizes: tuple[int, ...], known
     if part == 2:
         numbers = np.unique(numbers, return_inverse=True)[1].astype(np.int64)
     one, _, which = _counted(numbers, piece.lang[at])
-    has = known.has(_keys(_phrases(piece, at[one], part), langs[piece.lang[at[one]]]))[which]
+    hashes, some = _word_hashes(piece.dictionary), at[one]
+    has = known.has(_keys(langs[piece.lang[some]], *[hashes[piece.id[some + j]] for j in range(part)]))[which]
     good = np.zeros(len(piece.id) + 1, dtype=bool)
     good[at] = has
     number = np.zeros(len(piece.id) + 1, dtype=np.int64)
