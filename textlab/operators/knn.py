@@ -201,7 +201,8 @@ def knn_shapley(points: DataFrame, neighbors: DataFrame, id_col: str, label_col:
     tot = nb.groupBy("neighbor_id").agg(F.sum("s").alias("_s"))
     out = points.select(id_col, label_col).join(tot.withColumnRenamed("neighbor_id", id_col), id_col, "left")
     total = F.coalesce("_s", F.lit(0.0))
-    return out.select(id_col, label_col, F.round(total, digits).alias("value_sum"),
+    # + 0.0: a sum of -1e-17 is 0, not -0
+    return out.select(id_col, label_col, (F.round(total, digits) + F.lit(0.0)).alias("value_sum"),
                       F.round(F.lit(0.5) * (total / n + F.lit(1.0)), digits).alias("data_valuation_score"))
 
 

@@ -9,10 +9,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from textlab.functions.hashing import h60_sql
+from textlab.functions.tokens import tokens
 from textlab.operators import audit as AU
 from textlab.operators import knn as KN
+from textlab.operators.features import tfidf
+from textlab.operators.sparse_knn import sparse_knn
 from textlab.plans.registry import register
-from textlab.plans.views import hash_unit, hash_unit_sql
+from textlab.plans.views import LABELLED_SQL, hash_unit, hash_unit_sql, labelled_docs
 from textlab.sources.tables import read_table
 
 K = 10
@@ -30,21 +33,23 @@ r AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d
                      FROM p) WHERE rank <= {k})"""
 
 
-_VAL_SQL = "WITH " + _pairs_sql("embeddings", RANKS) + f""",
-l AS (SELECT vec_id, label FROM embeddings),
-nb AS (SELECT r.vec_id AS t, r.neighbor_id, r.rank,
+_SHAPLEY_SQL = f"""nb AS (SELECT r.vec_id AS t, r.neighbor_id, r.rank,
               CASE WHEN lt.label = ln.label THEN 1.0 ELSE 0.0 END AS m
-       FROM r JOIN l lt ON r.vec_id = lt.vec_id JOIN l ln ON r.neighbor_id = ln.vec_id),
+       FROM {{source}} r JOIN l lt ON r.vec_id = lt.vec_id JOIN l ln ON r.neighbor_id = ln.vec_id),
 st AS (SELECT *, lead(m) OVER (PARTITION BY t ORDER BY rank) AS mn FROM nb),
 s2 AS (SELECT *, CASE WHEN mn IS NULL THEN CASE WHEN rank >= {RANKS} THEN 0 ELSE m / {K} * least({K}, rank) / rank END ELSE (m - mn) / {K} * least({K}, rank) / rank END AS step FROM st),
 s3 AS (SELECT *, sum(step) OVER (PARTITION BY t ORDER BY rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS s
        FROM s2),
 tot AS (SELECT neighbor_id, sum(s) AS s FROM s3 GROUP BY neighbor_id),
 val AS (SELECT l.vec_id, l.label,
-               round(coalesce(tot.s, 0), 9) AS value_sum,
-               round(0.5 * (coalesce(tot.s, 0) / (SELECT count(*) FROM embeddings) + 1), 9) AS data_valuation_score
+               round(coalesce(tot.s, 0), 9) + 0 AS value_sum,
+               round(0.5 * (coalesce(tot.s, 0) / (SELECT count(*) FROM {{points}}) + 1), 9) AS data_valuation_score
         FROM l LEFT JOIN tot ON l.vec_id = tot.neighbor_id)"""
 
+_VAL_SQL = "WITH " + _pairs_sql("embeddings", RANKS) + """,
+l AS (SELECT vec_id, label FROM embeddings),
+""" + _SHAPLEY_SQL.format(source="r", points="embeddings")
+
 
 def _emb(spark, sf_dir):
     return read_table(spark, sf_dir, "embeddings")
@@ -73,6 +78,44 @@ def q_valuation_histogram(spark, sf_dir):
     return AU.score_histogram(_val(spark, sf_dir), "value_sum", "label", -0.5, 0.5, 10)
 
 
+# The same on text: TF-IDF rows of the labelled documents, words of two or more characters.
+_WORDS_SQL = r"regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')"
+
+
+def _text_pairs_sql(k: int) -> str:
+    return "WITH " + LABELLED_SQL + f""",
+docs AS (SELECT doc_id, label, list_filter({_WORDS_SQL}, lambda x: length(x) >= 2) AS tok FROM labelled),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(tok) AS term FROM docs) GROUP BY doc_id, term),
+dfs AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+raw AS (SELECT tf.doc_id, tf.term, tf.tf * (ln((1 + n) / (1 + df)) + 1) AS raw
+        FROM tf JOIN dfs ON tf.term = dfs.term, (SELECT count(*) AS n FROM docs)),
+w AS (SELECT doc_id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)) AS weight FROM raw),
+p AS (SELECT a.doc_id, b.doc_id AS neighbor_id, round(least(sum(a.weight * b.weight), 1.0), 9) AS cosine
+      FROM w a JOIN w b ON a.term = b.term WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+r AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY cosine DESC, neighbor_id) AS rank FROM p) WHERE rank <= {k})"""
+
+
+def _text_rows(spark, sf_dir):
+    docs = labelled_docs(spark, sf_dir).select("doc_id", "label", F.filter(tokens("text"), lambda x: F.length(x) >= 2).alias("tokens"))
+    return docs, tfidf(docs, "doc_id", "tokens", digits=None)
+
+
+@register("knn_tfidf", _text_pairs_sql(K) + """
+SELECT doc_id, neighbor_id, cosine, CAST(rank AS INTEGER) AS rank FROM r""")
+def q_knn_tfidf(spark, sf_dir):
+    return sparse_knn(_text_rows(spark, sf_dir)[1], "doc_id", K)
+
+
+@register("data_valuation_tfidf", _text_pairs_sql(RANKS) + f""",
+l AS (SELECT doc_id AS vec_id, label FROM docs), t AS (SELECT doc_id AS vec_id, neighbor_id, rank FROM r),
+{_SHAPLEY_SQL.format(source="t", points="l")}
+SELECT vec_id AS doc_id, label, value_sum, data_valuation_score FROM val""")
+def q_data_valuation_tfidf(spark, sf_dir):
+    docs, weights = _text_rows(spark, sf_dir)
+    points = docs.select("doc_id", "label")
+    return KN.knn_shapley(points, sparse_knn(weights, "doc_id", RANKS), "doc_id", "label", k=K, ranks=RANKS)
+
+
 # Binary audit target on embeddings: y = (label = 1); oof p1 = 0.3 y + 0.7 u(vec_id).
 def _oof(spark, sf_dir):
     e = _emb(spark, sf_dir).select("vec_id", (F.col("label") == 1).cast("int").alias("y"))
