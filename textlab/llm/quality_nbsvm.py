@@ -90,10 +90,12 @@ def scaled_values(rows: np.ndarray, first: np.ndarray, ratio: np.ndarray) -> np.
     return ratio[rows] / np.repeat(np.maximum(norm, 1e-12), np.diff(first))
 
 
-def dual_coordinate_descent(rows, values, first, y, dims: int, cost: float = 1.0, epochs: int = 12, seed: int = 7):
+def dual_coordinate_descent(rows, values, first, y, dims: int, cost: float = 1.0, epochs: int = 60, seed: int = 7,
+                            tolerance: float = 1e-3):
     """Weights and bias of min 1/2 |w|^2 + cost_i * sum max(0, 1 - y (w x + b))^2 with balanced class costs.
 
-    The bias is the weight of a constant feature 1.  Rows are visited in a seeded random order each epoch.
+    The bias is the weight of a constant feature 1.  Rows are visited in a seeded random order each epoch, at most ``epochs``
+    times; the descent is done when the greatest projected gradient of an epoch is at most ``tolerance`` times the first epoch's.
     """
     rng = np.random.default_rng(seed)
     n = len(y)
@@ -102,18 +104,20 @@ def dual_coordinate_descent(rows, values, first, y, dims: int, cost: float = 1.0
     diag = 1.0 / (2.0 * cost * 0.5 / share)
     spans = [(rows[first[i]:first[i + 1]], values[first[i]:first[i + 1]]) for i in range(n)]
     curvature = np.array([1.0 + v @ v for _, v in spans]) + diag
+    start = 0.0
     for _ in range(epochs):
         worst = 0.0
         for i in rng.permutation(n):
             at, v = spans[i]
             gradient = y[i] * (w[at] @ v + b) - 1.0 + diag[i] * alpha[i]
+            worst = max(worst, abs(gradient) if alpha[i] > 0 else -gradient)
             step = max(alpha[i] - gradient / curvature[i], 0.0) - alpha[i]
             if step:
                 alpha[i] += step
                 w[at] += step * y[i] * v
                 b += step * y[i]
-                worst = max(worst, abs(step))
-        if worst < 1e-3:
+        start = start or worst
+        if worst <= tolerance * start:
             break
     return w, b
 
