@@ -6,7 +6,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from tests.llm.test_near_dups import brute_classes
 from tests.llm.test_pii_anchors import brute as brute_pii
-from tests.llm.test_repeats_bwt import brute as brute_repeats
+from tests.llm.test_pipeline_repeats import brute as brute_repeats
 from textlab.llm.tables import written
 
 
@@ -28,8 +28,8 @@ def test_stages(spark, sf_dir):
     want = brute_classes(list(rows[1].items()))
     assert set(rows[2]) == {c for _, c in want}
 
-    kept = brute_repeats(list(rows[2].values()), 400)
-    assert all(rows[3][d] == k.decode("utf-8", "ignore") for d, (_, _, k) in zip(rows[2], kept))
+    kept = brute_repeats(list(rows[2].values()), corpus_pipeline.REPEATED_WORDS, 400)
+    assert all(rows[3][d] == k for d, k in zip(rows[2], kept))
 
     assert set(rows[4]) == set(rows[3])
     for d, t in rows[3].items():
