@@ -3,9 +3,10 @@
 Counting.  Each task turns its texts into words and pieces (numpy on the UTF-8 buffer), gives words numbers by an exact dictionary of the
 batch and numbers longer phrases as pairs (number of the phrase without its last word, last word), so a batch counts its phrases by sorting
 integers.  The partial counts are summed by Spark and written as one count stream per length, without those under ``MIN_COUNT``.
-A phrase is as rare as its rarest part, so length 2 counts only pairs of frequent words, and lengths 3 to 5 only runs of
-frequent pairs.  The frequent words or pairs reach the tasks as a Bloom filter; what it lets through wrongly is counted and
-dropped like any other rare phrase, so no result depends on it.
+A phrase is as rare as its rarest part, so only runs of frequent pairs are counted, and only pairs of frequent words are tried as such.
+The frequent words, then pairs, reach the tasks as a Bloom filter.  Pairs are tried under a 64-bit key of their words; a pair that
+shares the key or the filter's bits of others is counted word by word afterwards and dropped like any other rare phrase, so
+no result depends on keys or filters.
 
 Estimation layout.  The streams are kept in two orders: by phrase (prefix order: a phrase lies next to its longer phrases to the right)
 and by reversed phrase (suffix order: next to those to the left).  In each order neighbouring lengths are read in lockstep by sort-merge
@@ -15,7 +16,7 @@ that is as frequent as the phrase has one by one word that is, so one word on ei
 
 Scale: three passes over the texts, each column-pruned; partial counts are combined in the batch, in the task and then by
 phrase, so a very frequent phrase is one row a task.  Streams hold phrases with at least ``MIN_COUNT`` occurrences only.  The
-filter has 16 bits a key and at most ``2 ** FILTER_BITS`` bits (16 MB), whatever the input: beyond that it lets more through.
+filters (``bloom``) have at most 16 MB, whatever the input.
 
 Defined cases: a null text is empty; a null language is ``und``; empty tables and texts without a frequent phrase give no
 rows; repeated rows count each; ties in the score are ordered by count and phrase; other columns do not enter, and clashing names are not
@@ -33,15 +34,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from textlab.llm.tables import written
+from textlab.llm.bloom import Bloom, bloom_of
+from textlab.llm.tables import discard, written
 from textlab.llm.textkit import mix64, pieces, prefix_hash, span_hash, utf8_buffer
 
 MIN_COUNT = 100
 MOST_WORDS = 5
 TOP = 2000
 PIECE_BYTES = 4 << 20
-FILTER_BITS = 27
-KEY_BITS = 16
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LOWERED = np.arange(256, dtype=np.uint8)
 _LOWERED[65:91] += 32
@@ -52,23 +52,6 @@ _GAP[[0x20, 0x09]] = True
 _COUNTS = "lang string, words int, phrase string, n long"
 
 
-class Bloom:
-    """A set of (language, phrase) keys with two bits a key: never misses one, lets a few others through."""
-
-    def __init__(self, bits: int, data: np.ndarray):
-        self.bits, self.data = bits, data
-
-    @staticmethod
-    def places(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-        return keys & np.uint64((1 << bits) - 1), mix64(keys) & np.uint64((1 << bits) - 1)
-
-    def has(self, keys: np.ndarray) -> np.ndarray:
-        out = np.ones(len(keys), dtype=bool)
-        for p in self.places(keys, self.bits):
-            out &= (self.data[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 == 1
-        return out
-
-
 def _word_hashes(words: pa.Array) -> np.ndarray:
     data, offsets = utf8_buffer(words)
     out = np.zeros(len(offsets) - 1, dtype=np.uint64)
@@ -84,33 +67,21 @@ def _keys(lang: np.ndarray, first: np.ndarray, second: np.ndarray | None = None)
     return mix64(both ^ lang)
 
 
-def _phrase_keys(phrases: pa.Array, lang: np.ndarray) -> np.ndarray:
-    """The keys of phrases of one word or of two, all of them alike."""
-    words = pc.split_pattern(phrases, " ")
-    hashes = _word_hashes(words.flatten()).reshape(len(phrases), -1) if len(phrases) else np.zeros((0, 1), dtype=np.uint64)
-    return _keys(lang, *hashes.T)
-
-
 def _lang_numbers(langs: pa.Array) -> np.ndarray:
     return mix64(_word_hashes(langs) + np.uint64(1))
 
 
-def bloom_of(phrases: DataFrame) -> Bloom:
-    """The filter of (lang, phrase); its size follows the number of rows up to the bound."""
-    n = phrases.count()
-    bits = min(FILTER_BITS, max(13, (n * KEY_BITS - 1).bit_length()))
+def _key_column(keys: np.ndarray) -> pa.Array:
+    return pa.array(np.ascontiguousarray(keys).view(np.int64))
+
 
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def word_keys(words: DataFrame) -> DataFrame:
+    """The keys of the phrases (lang, phrase) of one word."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            both = np.unique(np.concatenate(Bloom.places(_phrase_keys(b.column(1), _lang_numbers(b.column(0))), bits)))
-            yield pa.RecordBatch.from_arrays([pa.array((both >> np.uint64(6)).astype(np.int64)),
-                                              pa.array((np.uint64(1) << (both & np.uint64(63))).view(np.int64))], names=["at", "bit"])
+            yield pa.RecordBatch.from_arrays([_key_column(_keys(_lang_numbers(b.column(0)), _word_hashes(b.column(1))))], names=["key"])
 
-    words = phrases.select("lang", "phrase").mapInArrow(places, "at long, bit long").groupBy("at").agg(F.bit_or("bit").alias("bit"))
-    data = np.zeros(1 << (bits - 6), dtype=np.int64)
-    table = words.toArrow()
-    data[table.column("at").to_numpy()] = table.column("bit").to_numpy()
-    return Bloom(bits, data.view(np.uint8))
+    return words.select("lang", "phrase").mapInArrow(run, "key long")
 
 
 class _Piece:
@@ -142,12 +113,6 @@ class _Piece:
         self.dictionary = coded.dictionary
 
 
-def _counted(numbers: np.ndarray, lang: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (number, lang): where one of each stands, how often it does, and each row's place among them."""
-    _, at, which, n = np.unique((numbers << 16) | lang, return_index=True, return_inverse=True, return_counts=True)
-    return at, n, which
-
-
 def _phrases(piece: _Piece, at: np.ndarray, words: int) -> pa.Array:
     parts = [piece.dictionary.take(pa.array(piece.id[at + j])) for j in range(words)]
     if words == 1:
@@ -155,61 +120,87 @@ def _phrases(piece: _Piece, at: np.ndarray, words: int) -> pa.Array:
     return pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.large_binary())).cast(pa.large_string())
 
 
-def _count_piece(piece: _Piece, langs: np.ndarray, sizes: tuple[int, ...], known: Bloom | None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(words, places of one occurrence of each distinct phrase, its count) for each size."""
-    if not len(piece.id):
-        return
-    if sizes == (1,):
-        at, n, _ = _counted(piece.id, piece.lang)
-        yield 1, at, n
-        return
-    # Parts of sizes[0] - 1 words: their number, and whether the filter has them.
-    part = sizes[0] - 1
-    at = np.flatnonzero(~piece.ends) if part == 2 else np.arange(len(piece.id))
-    numbers = piece.id[at] if part == 1 else (piece.id[at] << 32) | piece.id[at + 1]
-    if part == 2:
-        numbers = np.unique(numbers, return_inverse=True)[1].astype(np.int64)
-    one, _, which = _counted(numbers, piece.lang[at])
-    hashes, some = _word_hashes(piece.dictionary), at[one]
-    has = known.has(_keys(langs[piece.lang[some]], *[hashes[piece.id[some + j]] for j in range(part)]))[which]
+def _known_pairs(piece: _Piece, langs: np.ndarray, words: Bloom) -> np.ndarray:
+    """The keys of all pairs of known words, one an occurrence."""
+    hashes = _word_hashes(piece.dictionary)
+    known = words.has(_keys(langs[piece.lang], hashes[piece.id]))
+    at = np.flatnonzero(~piece.ends[:-1] & known[:-1] & known[1:])
+    return _keys(langs[piece.lang[at]], hashes[piece.id[at]], hashes[piece.id[at + 1]])
+
+
+def _count_words(piece: _Piece) -> tuple[np.ndarray, np.ndarray]:
+    _, at, n = np.unique((piece.id << 16) | piece.lang, return_index=True, return_counts=True)
+    return at, n
+
+
+def _count_phrases(piece: _Piece, langs: np.ndarray, most_words: int, pairs: Bloom) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(words, places of one occurrence of each distinct phrase, its count) for 2 to ``most_words`` words of known pairs."""
+    at = np.flatnonzero(~piece.ends)
+    hashes = _word_hashes(piece.dictionary)
+    at = at[pairs.has(_keys(langs[piece.lang[at]], hashes[piece.id[at]], hashes[piece.id[at + 1]]))]
     good = np.zeros(len(piece.id) + 1, dtype=bool)
-    good[at] = has
+    good[at] = True
+    # number[i]: the phrase of size - 1 words at i, the same for equal ones; at first the word and its language.
     number = np.zeros(len(piece.id) + 1, dtype=np.int64)
-    number[at] = which
-    at = at[has]
-    for size in sizes:
-        # A phrase of ``size`` words: its first size - 1 words are a phrase, its last ``part`` words are known.
-        more = ~piece.ends[at + size - 2] & good[at + size - part]
-        at = at[more]
+    number[at] = np.unique((piece.id[at] << 16) | piece.lang[at], return_inverse=True)[1]
+    for size in range(2, most_words + 1):
+        if size > 2:
+            at = at[~piece.ends[at + size - 2] & good[at + size - 2]]
         if not len(at):
             return
-        pair = (number[at] << 32) | piece.id[at + size - 1]
-        _, one, which, n = np.unique(pair, return_index=True, return_inverse=True, return_counts=True)
+        _, one, which, n = np.unique((number[at] << 32) | piece.id[at + size - 1], return_index=True, return_inverse=True, return_counts=True)
         yield size, at[one], n
         number[at] = which
 
 
-def counts(docs: DataFrame, sizes: tuple[int, ...], known: Bloom | None = None, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(lang, words, phrase, n): occurrences of phrases of ``sizes`` words.  Size 1 also has a row with phrase null for each
-    language: the number of all its words."""
-    share = docs.sparkSession.sparkContext.broadcast(known) if known else None
+def _rows(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    return docs.select(F.col(f"`{text_col}`").cast("string").alias("t"), F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("g"))
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[_Piece, pa.Array, np.ndarray]]:
+    """The pieces of the texts, the names of their languages and the numbers of these."""
+    for batch in batches:
+        data, offsets = utf8_buffer(batch.column(0))
+        coded = batch.column(1).dictionary_encode()
+        lang, names = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+        numbers = _lang_numbers(names)
+        for a, b in pieces(offsets, PIECE_BYTES):
+            yield _Piece(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], lang[a:b]), names, numbers
+
+
+def word_counts(docs: DataFrame, **columns: str) -> DataFrame:
+    """(lang, words = 1, phrase, n), and for each language a row with phrase null: the number of all its words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece, names, _ in _pieces(batches):
+            at, n = _count_words(piece)
+            yield _batch(names.take(pa.array(piece.lang[at])), 1, _phrases(piece, at, 1), n)
+            yield _batch(names, 1, pa.nulls(len(names), pa.string()), np.bincount(piece.lang, minlength=len(names)))
+
+    return _rows(docs, **columns).mapInArrow(run, _COUNTS).groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
+
+
+def pair_keys(docs: DataFrame, words: Bloom, min_count: int, **columns: str) -> DataFrame:
+    """(key, n) of the pairs of known words with at least ``min_count`` occurrences under their key."""
+    share = docs.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = utf8_buffer(batch.column(0))
-            coded = batch.column(1).dictionary_encode()
-            lang, names = coded.indices.to_numpy().astype(np.int64), coded.dictionary
-            numbers = _lang_numbers(names)
-            for a, b in pieces(offsets, PIECE_BYTES):
-                piece = _Piece(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], lang[a:b])
-                for words, at, n in _count_piece(piece, numbers, sizes, share.value if share else None):
-                    yield _batch(names.take(pa.array(piece.lang[at])), words, _phrases(piece, at, words), n)
-                if sizes == (1,):
-                    total = np.bincount(piece.lang, minlength=len(names))
-                    yield _batch(names, 1, pa.nulls(len(names), pa.string()), total)
-
-    rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("t"), F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("g"))
-    return rows.mapInArrow(run, _COUNTS).groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
+        for piece, _, numbers in _pieces(batches):
+            keys, n = np.unique(_known_pairs(piece, numbers, share.value), return_counts=True)
+            yield pa.RecordBatch.from_arrays([_key_column(keys), pa.array(n.astype(np.int64))], names=["key", "n"])
+
+    return _rows(docs, **columns).mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
+
+
+def phrase_counts(docs: DataFrame, pairs: Bloom, most_words: int, **columns: str) -> DataFrame:
+    """(lang, words, phrase, n) of the phrases of 2 to ``most_words`` words whose pairs are all known."""
+    share = docs.sparkSession.sparkContext.broadcast(pairs)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece, names, numbers in _pieces(batches):
+            for words, at, n in _count_phrases(piece, numbers, most_words, share.value):
+                yield _batch(names.take(pa.array(piece.lang[at])), words, _phrases(piece, at, words), n)
+
+    return _rows(docs, **columns).mapInArrow(run, _COUNTS).groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
 
 
 def _batch(lang: pa.Array, words: int, phrase: pa.Array, n: np.ndarray) -> pa.RecordBatch:
@@ -220,18 +211,13 @@ def _batch(lang: pa.Array, words: int, phrase: pa.Array, n: np.ndarray) -> pa.Re
 def count_streams(docs: DataFrame, most_words: int = MOST_WORDS, min_count: int = MIN_COUNT, **columns: str) -> tuple[DataFrame, DataFrame]:
     """Phrases of 1 to ``most_words`` words with at least ``min_count`` occurrences, (lang, words, phrase, n), and all words of each
     language, (lang, n)."""
-    ones, _ = written(counts(docs, (1,), **columns).where((F.col("n") >= min_count) | F.col("phrase").isNull()), "phrases-1")
-    totals = ones.where("phrase IS NULL").select("lang", "n")
-    ones = ones.where("phrase IS NOT NULL")
-    streams = [ones]
-    for sizes in ((2,), tuple(range(3, most_words + 1))):
-        if sizes and sizes[0] <= most_words:
-            found = counts(docs, sizes, bloom_of(streams[-1]), **columns).where(F.col("n") >= min_count)
-            streams.append(written(found, f"phrases-{sizes[0]}")[0])
-    out = streams[0]
-    for s in streams[1:]:
-        out = out.unionByName(s)
-    return out, totals
+    ones, _ = written(word_counts(docs, **columns).where((F.col("n") >= min_count) | F.col("phrase").isNull()), "phrases-words")
+    words = ones.where("phrase IS NOT NULL")
+    keys, keys_path = written(pair_keys(docs, bloom_of(word_keys(words), "key"), min_count, **columns).select("key"), "phrases-keys")
+    pairs = bloom_of(keys, "key")
+    discard(keys, keys_path)
+    longer, _ = written(phrase_counts(docs, pairs, most_words, **columns).where(F.col("n") >= min_count), "phrases-longer")
+    return words.unionByName(longer), ones.where("phrase IS NULL").select("lang", "n")
 
 
 def _reversed(phrase: Column) -> Column:
