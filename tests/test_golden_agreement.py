@@ -63,6 +63,7 @@ def test_discrepancies(wide):
 
 def test_coder_vs_expert(long):
     r = {x.rater: x for x in A.coder_vs_expert(long, expert=3).collect()}
+    assert abs(r[None].accuracy - 0.880719) < 2e-6 and abs(r[None].f1 - 0.759023) < 2e-6 and r[None].n is None
     assert (r[1].tp, r[1].fn, r[1].fp, r[1].tn) == (56, 29, 7, 214)
     assert r[1].accuracy == pytest.approx(0.882353, abs=1e-6)
     assert r[1].f1 == pytest.approx(0.756757, abs=1e-6)

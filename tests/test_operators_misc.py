@@ -135,3 +135,22 @@ def test_idf_fit_apply_equals_tfidf(spark):
     one = {(r.doc_id, r.term): round(r.weight, 9) for r in tfidf(df, digits=None).collect()}
     two = {(r.doc_id, r.term): round(r.weight, 9) for r in tfidf_apply(df, idf_table(df)).collect()}
     assert one == two
+
+
+def test_pack_blocks_null_and_repeated_ids(spark):
+    """Null ids and rows with the same id keep all their tokens, once each."""
+    rows = [(None, ["n"] * 5), (None, ["m"] * 3), (7, ["a"] * 4), (7, ["b"] * 4), (7, ["a"] * 4), (9, None), (9, []), (10, ["c"] * 12)]
+    df = spark.createDataFrame(rows, "doc_id long, tok array<string>")
+    got = C.pack_blocks(df, "doc_id", "tok", block=8, batch_docs=100).orderBy("block").collect()
+    tokens = [t for r in got for t in r.tokens]
+    assert [len(r.tokens) for r in got] == [8, 8, 8, 8] and sorted(tokens) == sorted("n" * 5 + "m" * 3 + "a" * 8 + "b" * 4 + "c" * 12)
+    assert set(tokens[:8]) == {"n", "m"} and set(tokens[8:20]) == {"a", "b"} and set(tokens[20:]) == {"c"}
+
+
+def test_splits_need_no_sort_or_checkpoint(spark):
+    from textlab.operators.splits import stratified_splits
+    df = spark.createDataFrame([(i, i % 3 == 0) for i in range(500)], "doc_id long, label boolean")
+    folds = stratified_splits(df, "doc_id", "label", 2)
+    plan = folds._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" not in plan and "Sort [" not in plan and "LogicalRDD" not in plan.replace("LogicalRDD [doc_id", "")
+    assert folds.where("role = 'test'").groupBy("fold").count().select("count").distinct().first()[0] == 150

@@ -116,11 +116,15 @@ def coder_vs_expert(long: DataFrame, expert: int, digits: int = 6) -> DataFrame:
     """Per rater (other than the expert): confusion counts and metrics with the
     expert's label as truth.  ``truth`` is explicit: recall = tp / expert
     positives (the reference passes the coder as truth, which swaps recall and
-    precision)."""
+    precision).  A last row with rater null holds the mean of the coders' metrics."""
     truth = long.filter(F.col("rater") == expert).select("object_id", F.col("score").alias("truth"))
     coders = long.filter(F.col("rater") != expert).select("rater", "object_id", F.col("score").alias("pred"))
     joined = coders.join(truth, "object_id")
-    return binary_metrics(joined, "truth", "pred", ["rater"], digits)
+    each = binary_metrics(joined, "truth", "pred", ["rater"], None)
+    names = ["accuracy", "precision", "recall", "f1"]
+    mean = each.agg(*[F.avg(m).alias(m) for m in names], F.count(F.lit(1)).alias("_n")).where("_n > 0").drop("_n")
+    both = each.unionByName(mean, allowMissingColumns=True)
+    return both.select("rater", "n", "tp", "fp", "fn", "tn", *[F.round(m, digits).alias(m) for m in names])
 
 
 # Cumulative Poisson(1) probabilities P(K <= k), k = 0..7.

@@ -80,17 +80,22 @@ def pack_blocks(docs: DataFrame, id_col: str, tokens_col: str, block: int = 512,
                 batch_docs: int = 1000) -> DataFrame:
     """Documents in id order form batches of ``batch_docs``; each batch's
     token streams are concatenated and cut into ``block``-token blocks; the
-    incomplete tail of each batch is dropped.  (batch, block, tokens, labels)."""
-    # Only ids and lengths are ranked; a document's slices then carry its tokens to their blocks in one shuffle.
-    ranked = exact_rank(docs.select(id_col, F.size(tokens_col).alias("_len")), [], [id_col], "_rk").withColumn(
-        "batch", F.floor((F.col("_rk") - 1) / batch_docs).cast("bigint"))
-    w = Window.partitionBy("batch").orderBy(id_col)  # at most batch_docs rows per group
+    incomplete tail of each batch is dropped.  (batch, block, tokens, labels).
+
+    Null ids come first and null tokens are empty; rows with the same id are
+    ordered by a hash of their tokens, and repeated rows are packed each."""
+    # Only ids, hashes and lengths are ranked; a document's slices then carry its tokens to their blocks in one shuffle.
+    content = F.xxhash64(tokens_col).alias("_content")
+    ranked = exact_rank(docs.select(id_col, content, F.coalesce(F.size(tokens_col), F.lit(0)).alias("_len")), [],
+                        [id_col, "_content"], "_rk").withColumn("batch", F.floor((F.col("_rk") - 1) / batch_docs).cast("bigint"))
+    w = Window.partitionBy("batch").orderBy("_rk")  # at most batch_docs rows per group
     ranked = ranked.withColumn("_off", F.coalesce(F.sum("_len").over(w.rowsBetween(Window.unboundedPreceding, -1)),
                                                   F.lit(0)))
     ranked = ranked.withColumn("_tot", F.sum("_len").over(Window.partitionBy("batch"))).filter(F.col("_len") > 0)
     first = F.floor(F.col("_off") / block)
     last = F.floor((F.col("_off") + F.col("_len") - 1) / block)
-    cut = docs.select(id_col, tokens_col).join(ranked, id_col).withColumn("block", F.explode(F.sequence(first, last)))
+    texts = docs.select(F.col(id_col).alias("_id"), tokens_col, content.alias("_key")).dropDuplicates(["_id", "_key"])
+    cut = texts.join(ranked, F.col("_id").eqNullSafe(F.col(id_col)) & (F.col("_key") == F.col("_content"))).withColumn("block", F.explode(F.sequence(first, last)))
     cut = cut.filter(F.col("block") < F.floor(F.col("_tot") / block))
     start = F.greatest(F.col("block") * block - F.col("_off"), F.lit(0)).cast("int")
     stop = F.least((F.col("block") + 1) * block - F.col("_off"), F.col("_len")).cast("int")

@@ -63,6 +63,34 @@ def _largest_remainder(counts: DataFrame, group_cols: Sequence[str], class_col:
                     (F.col("_fl") + F.when(F.col("_rr") <= F.col("_left"), 1).otherwise(0)).cast("bigint").alias(out_col))
 
 
+def smallest_cuts(base: DataFrame, group_cols: Sequence[str], quotas: DataFrame, id_col: str, h_col: str = "_h") -> DataFrame:
+    """(group..., _cut_h, _cut_id): the ``quota``-th row of each group in the order of (60-bit hash, id), found by counting.
+
+    Two histograms, of the hash's first 16 bits and of the next 16 bits inside the one part that holds the quota-th row, leave
+    about one row in 2^32 of a group, which are numbered.  No sort and no checkpoint of the rows; ``quotas`` (group..., quota)
+    is small (groups).  A group with quota 0 has no cut.
+    """
+    g = list(group_cols)
+    picked = quotas.where("quota > 0").select(*g, F.col("quota").alias("_left"), F.lit(0).cast("bigint").alias("_part"))
+    rows = base
+    for shift in (44, 28):
+        rows = base.join(F.broadcast(picked), g) if shift == 44 else base.join(F.broadcast(picked), g).where(
+            F.shiftright(h_col, 44) == F.col("_part"))
+        counted = rows.groupBy(*g, "_left", F.shiftright(h_col, shift).alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+        before = Window.partitionBy(*g).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+        counted = counted.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        picked = counted.where("_before < _left and _left <= _before + _n").select(
+            *g, (F.col("_left") - F.col("_before")).alias("_left"), F.col("_p").alias("_part"))
+    rest = base.join(F.broadcast(picked), g).where(F.shiftright(h_col, 28) == F.col("_part"))
+    at = F.row_number().over(Window.partitionBy(*g).orderBy(h_col, id_col))
+    return rest.withColumn("_at", at).where("_at = _left").select(*g, F.col(h_col).alias("_cut_h"), F.col(id_col).alias("_cut_id"))
+
+
+def _within_cut(id_col: str, h_col: str = "_h") -> Column:
+    h, row = F.col(h_col), F.col(id_col)
+    return F.coalesce((h < F.col("_cut_h")) | ((h == F.col("_cut_h")) & (row <= F.col("_cut_id"))), F.lit(False))
+
+
 def stratified_splits(df: DataFrame, id_col: str, label_col: str, n_splits: int = 10,
                       test_size: float = 0.3, seed: int = 42) -> DataFrame:
     """Long fold table (fold, id, label, role) of a stratified shuffle split.
@@ -75,10 +103,9 @@ def stratified_splits(df: DataFrame, id_col: str, label_col: str, n_splits: int
     base = base.withColumn("_h", h60(hash_key(F.lit(seed), "fold", id_col)))
     counts = base.groupBy("fold", label_col).agg(F.count(F.lit(1)).alias("n_c"))
     quotas = _largest_remainder(counts, ["fold"], label_col, lambda n: F.ceil(F.lit(test_size) * n))
-    ranked = exact_rank(base, ["fold", label_col], ["_h", id_col])
-    out = ranked.join(F.broadcast(quotas.select("fold", label_col, "quota")), ["fold", label_col])
-    return out.select("fold", id_col, label_col,
-                      F.when(F.col("rank") <= F.col("quota"), "test").otherwise("train").alias("role"))
+    cuts = smallest_cuts(base, ["fold", label_col], quotas.select("fold", label_col, "quota"), id_col)
+    out = base.join(F.broadcast(cuts), ["fold", label_col], "left")
+    return out.select("fold", id_col, label_col, F.when(_within_cut(id_col), "test").otherwise("train").alias("role"))
 
 
 def stratified_kfold(df: DataFrame, id_col: str, label_col: str, k: int = 5, seed: int = 42) -> DataFrame:
@@ -107,9 +134,10 @@ def holdout_split(df: DataFrame, id_col: str, test_fraction: float = 0.7, seed:
 def undersample(df: DataFrame, id_col: str, label_col: str, seed: int = 42) -> DataFrame:
     """Keep every class down to the minority count (smallest md5 first)."""
     base = df.withColumn("_h", h60(hash_key(F.lit(seed), id_col)))
-    m = base.groupBy(label_col).agg(F.count(F.lit(1)).alias("_c")).select(F.min("_c")).scalar()
-    ranked = exact_rank(base, [label_col], ["_h", id_col])
-    return ranked.filter(F.col("rank") <= m).drop("rank", "_h")
+    counts = base.groupBy(label_col).agg(F.count(F.lit(1)).alias("_c"))
+    quotas = counts.select(label_col, counts.select(F.min("_c")).scalar().alias("quota"))
+    cuts = smallest_cuts(base, [label_col], quotas, id_col)
+    return base.join(F.broadcast(cuts), label_col).where(_within_cut(id_col)).select(*df.columns)
 
 
 def oversample(df: DataFrame, id_col: str, label_col: str, seed: int = 42) -> DataFrame:

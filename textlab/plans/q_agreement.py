@@ -109,13 +109,14 @@ c AS (SELECT rater, count(*) AS n,
              CAST(sum(CASE WHEN truth = 0 AND pred = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fp,
              CAST(sum(CASE WHEN truth = 1 AND pred = 0 THEN 1 ELSE 0 END) AS BIGINT) AS fn,
              CAST(sum(CASE WHEN truth = 0 AND pred = 0 THEN 1 ELSE 0 END) AS BIGINT) AS tn
-      FROM j GROUP BY rater)
-SELECT rater, n, tp, fp, fn, tn,
-       round(coalesce((tp + tn) / nullif(n, 0), 0), 6) AS accuracy,
-       round(coalesce(tp / nullif(tp + fp, 0), 0), 6) AS precision,
-       round(coalesce(tp / nullif(tp + fn, 0), 0), 6) AS recall,
-       round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1
-FROM c""")
+      FROM j GROUP BY rater),
+m AS (SELECT rater, n, tp, fp, fn, tn, coalesce((tp + tn) / nullif(n, 0), 0) AS accuracy,
+             coalesce(tp / nullif(tp + fp, 0), 0) AS precision, coalesce(tp / nullif(tp + fn, 0), 0) AS recall,
+             coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1 FROM c)
+SELECT rater, n, tp, fp, fn, tn, round(accuracy, 6) AS accuracy, round(precision, 6) AS precision,
+       round(recall, 6) AS recall, round(f1, 6) AS f1 FROM m
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, round(avg(accuracy), 6), round(avg(precision), 6), round(avg(recall), 6),
+       round(avg(f1), 6) FROM m""")
 def q_coder_vs_expert(spark, sf_dir):
     return A.coder_vs_expert(ratings(spark, sf_dir), expert=3)
 

@@ -133,13 +133,13 @@ def q_ngrams(spark, sf_dir):
 
 @register("labeling_export", f"""SELECT page_id AS id, url,
        regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) AS title,
-       {S.html_to_md('html')} AS text
+       {S.html_to_md('html')} AS text, {S.html_clean('html')} AS text_html
 FROM pages""")
 def q_labeling_export(spark, sf_dir):
     p = _pages(spark, sf_dir)
     return p.select(F.col("page_id").alias("id"), "url",
                     F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1).alias("title"),
-                    T.html_to_md("html").alias("text"))
+                    T.html_to_md("html").alias("text"), T.html_clean("html").alias("text_html"))
 
 
 @register("delivery_positive", f"""SELECT CAST(d.doc_id AS VARCHAR) AS doc_id, CAST(d.lang AS VARCHAR) AS lang,
