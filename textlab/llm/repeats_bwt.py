@@ -41,10 +41,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textlab.llm.tables import written
+from textlab.llm.bloom import Bloom, bloom_of
+from textlab.llm.tables import discard, written
 from textlab.llm.textkit import Words, map_batches, pieces, prefix_hash, run_prefix, span_hash, utf8_buffer
 
 LENGTH = 400
@@ -52,6 +53,8 @@ GRAM = 200
 WORD_GRAM = 26
 HOT_ROWS = 40_000
 BLOCK_ROWS = 16_384
+SALTS = 8
+WORDS = 51
 _LOW = np.uint64(0xFFFFFFFF)
 
 
@@ -419,8 +422,9 @@ def repeated_words(members: DataFrame, words: int) -> DataFrame:
     """(key, start, end): runs of at least ``words`` words that repeat, in numbers of words.  ``members``: a table as of
     ``word_members``."""
     runs = members.where("values is not null").select("hash", "context", F.posexplode("values").alias("at", "value"))
-    twice = runs.groupBy("value").agg(F.min("context").alias("_a"), F.max("context").alias("_b")).where("_a <> _b").select("value")
-    among = runs.join(twice, "value").groupBy("hash", "context").agg(F.min("at").alias("low"), F.max("at").alias("high"))
+    # Equal runs share their anchor, so its hash and the run's are 128 bits together.
+    twice = runs.groupBy("hash", "value").agg(F.min("context").alias("_a"), F.max("context").alias("_b")).where("_a <> _b").select("hash", "value")
+    among = runs.join(twice, ["hash", "value"]).groupBy("hash", "context").agg(F.min("at").alias("low"), F.max("at").alias("high"))
     rows = members.select("hash", "context", "key", "first", "n")
     several = rows.groupBy("hash", "context").agg(F.count(F.lit(1)).alias("_n"), F.max("n").alias("n")).where("_n > 1").select(
         "hash", "context", F.lit(0).alias("low"), (F.col("n") - 1).alias("high"))
@@ -448,28 +452,58 @@ def _cut(text: bytes, runs: list[tuple[int, int]]) -> bytes:
     return b"".join(kept) + text[at:]
 
 
+def _run_lists(runs: list[list[tuple[int, int]]]) -> pa.Array:
+    item = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+    return pa.array([[{"start": a, "end": b} for a, b in r] for r in runs], type=pa.list_(item))
+
+
+def _marks_in(surveyed: DataFrame, wanted: Bloom) -> DataFrame:
+    """(hash, key, place) of the marks whose hash the filter has."""
+    shared = surveyed.sparkSession.sparkContext.broadcast(wanted)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = batch.column("hashes")
+            at = np.flatnonzero(shared.value.has(hashes.flatten().to_numpy()))
+            row = np.repeat(np.arange(batch.num_rows), np.diff(hashes.offsets.to_numpy()))
+            take = pa.array(at)
+            yield pa.RecordBatch.from_arrays([hashes.flatten().take(take), batch.column("key").take(pa.array(row[at])),
+                                              batch.column("places").flatten().take(take)], names=["hash", "key", "place"])
+
+    kind = surveyed.schema["places"].dataType.elementType.simpleString()
+    return surveyed.select("key", "hashes", "places").mapInArrow(run, f"hash bigint, key binary, place {kind}")
+
+
 def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
                  hot_rows: int = HOT_ROWS, words: int | None = None) -> tuple[DataFrame, DataFrame, list[str]]:
     """(documents, cuts, folders to discard after use).
 
     documents: doc_id, key, n_bytes, n_words, sha256, copies (how many rows have this text).  cuts: key, runs (array of struct
-    start, end), kept (the remaining bytes) for texts that occur once and lose something.
+    start, end), kept (the remaining bytes) for texts that occur once and lose something.  With ``words`` also the same by
+    strings of ``length`` bytes alone (byte_runs, byte_sha256) and by runs of words alone, in numbers of words (word_runs).
     """
     surveyed, surveyed_path = written(survey(docs, id_col, text_col, length, gram, words), "anchors")
-    marks = surveyed.select("key", F.explode(F.arrays_zip("hashes", "places")).alias("m")).select(
-        F.col("m.hashes").alias("hash"), "key", F.col("m.places").alias("place"))
-    where = F.struct("key", "place")
-    shared = marks.groupBy("hash").agg(F.min(where).alias("_a"), F.max(where).alias("_b")).where("_a <> _b").select("hash")
-    places = marks.join(shared, "hash").groupBy("key").agg(F.collect_set(F.struct("hash", "place")).alias("found"))
+    marks = surveyed.select(F.xxhash64("key").alias("k"), F.explode(F.arrays_zip("hashes", "places")).alias("m")).select(
+        F.col("m.hashes").alias("hash"), F.struct("k", F.col("m.places").alias("place")).alias("where"))
+    shared, shared_path = written(marks.groupBy("hash").agg(F.min("where").alias("_a"), F.max("where").alias("_b")).where("_a <> _b").select("hash"), "shared")
+    # Only marks that a filter of the shared hashes lets through are shuffled; a very common anchor's marks go to SALTS tasks.
+    salt = F.pmod(F.xxhash64("key", "place"), F.lit(SALTS)).alias("_salt")
+    salted = shared.select("hash", F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)")).alias("_salt"))
+    places = (_marks_in(surveyed, bloom_of(shared, "hash")).select("*", salt).hint("merge").join(salted, ["hash", "_salt"])
+              .groupBy("key").agg(F.collect_set(F.struct("hash", "place")).alias("found")))
     affected, affected_path = written(_texts(docs, text_col, min(length, 2 * words - 1) if words else length).join(places, "key").dropDuplicates(["key"]), "texts")
     members, members_path = written(members_of(affected, length, gram), "members")
-    spans = repeated_spans(members, length, gram, hot_rows)
+    # What a step leaves is written before the next begins, so its tables can go.
+    spans, spans_path = written(repeated_spans(members, length, gram, hot_rows), "spans")
+    discard(docs, shared_path, members_path)
     by_text = spans.groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    paths = [surveyed_path, affected_path, members_path]
+    paths = [surveyed_path, affected_path, spans_path]
     if words:
-        found, path = written(word_members(affected, words), "runs")
+        found, found_path = written(word_members(affected, words), "runs")
+        word_spans, path = written(repeated_words(found, words), "word-spans")
+        discard(docs, found_path)
         paths.append(path)
-        spans = spans.withColumn("_words", F.lit(False)).union(repeated_words(found, words).withColumn("_words", F.lit(True)))
+        spans = spans.withColumn("_words", F.lit(False)).union(word_spans.withColumn("_words", F.lit(True)))
         span = F.struct("start", "end")
         by_text = spans.groupBy("key").agg(F.collect_list(F.when(~F.col("_words"), span)).alias("spans"),
                                            F.collect_list(F.when(F.col("_words"), span)).alias("word_spans"))
@@ -486,29 +520,45 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     start, end = w.start[w.first[i]:w.first[i + 1]], w.end[w.first[i]:w.first[i + 1]]
                     spans[a + i] += [(int(start[s["start"]] - local[i]), int(end[s["end"] - 1] - local[i])) for s in of_words[a + i]]
         runs = [merged(s) for s in spans]
-        kept = [_cut(text, r) for text, r in zip(batch.column("text").to_pylist(), runs)]
-        item = pa.struct([("start", pa.int64()), ("end", pa.int64())])
-        return [pa.array([[{"start": a, "end": b} for a, b in r] for r in runs], type=pa.list_(item)), pa.array(kept, type=pa.binary())]
-
-    cuts = map_batches(affected.select("key", "text").join(by_text, "key"), run,
-                       "runs array<struct<start:bigint,end:bigint>>, kept binary", keep=["key"])
+        texts = batch.column("text").to_pylist()
+        kept = [_cut(text, r) for text, r in zip(texts, runs)]
+        out = [_run_lists(runs), pa.array(kept, type=pa.binary())]
+        if words:
+            byte_runs = [merged([(s["start"], s["end"]) for s in found]) for found in batch.column("spans").to_pylist()]
+            out += [_run_lists(byte_runs), pa.array([hashlib.sha256(_cut(t, r)).hexdigest() for t, r in zip(texts, byte_runs)]),
+                    _run_lists([merged([(s["start"], s["end"]) for s in found]) for found in batch.column("word_spans").to_pylist()])]
+        return out
+
+    spans_type = "array<struct<start:bigint,end:bigint>>"
+    made = f"runs {spans_type}, kept binary" + (f", byte_runs {spans_type}, byte_sha256 string, word_runs {spans_type}" if words else "")
+    cuts = map_batches(affected.select("key", "text").join(by_text, "key"), run, made, keep=["key"])
     counts = surveyed.groupBy("key").agg(F.count(F.lit(1)).alias("copies"))
     documents = surveyed.select("doc_id", "key", "n_bytes", "n_words", "sha256").join(counts, "key")
     return documents, cuts, paths
 
 
 def op3_repeats_bwt(spark, sf_dir: str) -> DataFrame:
-    """What every document loses to repeated strings of 400 bytes."""
+    """What every document loses to repeated strings of 400 bytes, and beside it the words of it (n_words_repeated) that lie in runs of
+    51 words or more that occur more than once, however few bytes they have, and the number of such runs (n_word_runs)."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    documents, cuts, _ = find_repeats(docs)
-    lost = F.aggregate("runs", F.lit(0).cast("bigint"), lambda n, r: n + r["end"] - r["start"])
-    cuts = cuts.select("key", lost.alias("_lost"), F.size("runs").cast("bigint").alias("_runs"), F.sha2("kept", 256).alias("_kept"))
+    documents, cuts, paths = find_repeats(docs, words=WORDS)
+
+    def covered(runs: str) -> Column:
+        return F.aggregate(runs, F.lit(0).cast("bigint"), lambda n, r: n + r["end"] - r["start"])
+    cuts = cuts.select("key", covered("byte_runs").alias("_lost"), F.size("byte_runs").cast("bigint").alias("_runs"),
+                       F.col("byte_sha256").alias("_kept"), covered("word_runs").alias("_words"), F.size("word_runs").cast("bigint").alias("_word_runs"))
     copied = (F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH)
-    return documents.join(cuts, "key", "left").select(
+    copied_words = (F.col("copies") > 1) & (F.col("n_words") >= WORDS)
+    out = documents.join(cuts, "key", "left").select(
         "doc_id", "n_bytes",
         F.when(copied, F.col("n_bytes")).otherwise(F.coalesce("_lost", F.lit(0))).alias("n_removed"),
         F.when(copied, F.lit(1).cast("bigint")).otherwise(F.coalesce("_runs", F.lit(0))).alias("n_spans"),
-        F.when(copied, F.sha2(F.lit("").cast("binary"), 256)).otherwise(F.coalesce("_kept", "sha256")).alias("kept_sha256"))
+        F.when(copied, F.sha2(F.lit("").cast("binary"), 256)).otherwise(F.coalesce("_kept", "sha256")).alias("kept_sha256"),
+        F.when(copied_words, F.col("n_words").cast("bigint")).otherwise(F.coalesce("_words", F.lit(0))).alias("n_words_repeated"),
+        F.when(copied_words, F.lit(1).cast("bigint")).otherwise(F.coalesce("_word_runs", F.lit(0))).alias("n_word_runs"))
+    result, _ = written(out, "repeats")
+    discard(docs, *paths)
+    return result
 
 
 def remove_repeats(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
