@@ -9,6 +9,7 @@ is a polynomial over its bytes, so all words of a piece are hashed with a few ve
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -153,6 +154,24 @@ def shingle_hashes(word_hash: np.ndarray, first: np.ndarray, size: int = SHINGLE
     return mix64(out + length.astype(np.uint64)), offs
 
 
+def _malloc_trim() -> Callable[[int], int] | None:
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):
+        return None  # another C library: what it frees is left to it
+
+
+_TRIM = _malloc_trim()
+
+
+def release_memory() -> None:
+    """Give freed memory of this process back to the system: a worker lives on between stages, and what one stage held would
+    else count against the next."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], list[pa.Array]], added: str,
                 keep: list[str] | None = None, rows: int | None = None) -> DataFrame:
     """``df``'s columns in ``keep`` (default: all) and the columns that ``fn`` computes for each Arrow batch.
@@ -172,6 +191,8 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], list[pa.Array]], a
                 batch = whole.slice(at, rows) if rows else whole
                 made = fn(batch)
                 yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept_names] + list(made), names=out_names)
+            made = batch = whole = None
+            release_memory()
 
     return df.mapInArrow(run, schema)
 
