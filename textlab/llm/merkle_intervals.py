@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textlab.llm.ordered import running
-from textlab.llm.tables import written
+from textlab.llm.tables import discard, written
 
 FANOUT = 8
 _BITS = 3  # of a rank that one level takes
@@ -147,9 +147,11 @@ def manifest(docs: DataFrame) -> DataFrame:
     rows = docs.select(columns["doc_id"].alias("doc_id"), columns["lang"].alias("lang"), leaf.alias("digest"),
                        F.when(~same, leaf_of(other)).alias("tampered"),
                        F.coalesce(F.concat(F.lit("1"), columns["lang"]), F.lit("0")).alias("_tree"))
+    rows, rows_path = written(rows, "merkle-hashed")  # the range partitioning samples its input: texts are hashed once
     ranked = running(rows, ["_tree"], ["doc_id", "digest"], name="merkle-leaves").select(
         "_tree", F.col("_rows").alias("_size"), F.col("_rank").alias("lo"), F.col("_rank").alias("hi"),
         "digest", "doc_id", "lang", F.coalesce("tampered", "digest").alias("tampered"))
+    discard(rows, rows_path)
     trees = Tree(ranked, ["doc_id", "lang", "tampered"], "merkle-language")
     subroots = running(trees.tops().withColumnRenamed("_tree", "_lang_tree").withColumn("_tree", F.lit("")), ["_tree"], ["_lang_tree"],
                        name="merkle-subroots")

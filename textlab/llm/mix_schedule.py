@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from textlab.functions.hashing import h60, h60_sql
 from textlab.llm.ordered import running
-from textlab.llm.tables import written
+from textlab.llm.tables import discard, written
 
 WEIGHTS = (3, 1, 2)
 SHARE = (3, 2)  # all words times 3 / 2
@@ -130,7 +130,9 @@ def mix(docs: DataFrame, block: int = BLOCK_WORDS, id_col: str = "doc_id", text_
     piece a row.
     Documents: one row each, doc_id, size, source_size, target and ``_at``, the number that names the row in the schedule.
     """
-    laid = running(sizes(docs, id_col, text_col, source_col), _SOURCE, ["_place", "doc_id", "size", "_text"], ("size",), name="mix-documents")
+    counted, path = written(sizes(docs, id_col, text_col, source_col), "mix-sizes")  # words are counted once
+    laid = running(counted, _SOURCE, ["_place", "doc_id", "size", "_text"], ("size",), name="mix-documents")
+    discard(counted, path)
     sources, _ = written(targets(laid), "mix-targets")
     source = F.when(~F.col("_null"), F.col("_source")).alias("source")
     schedule = (blocks(laid, sources, block).join(slots(sources, block), _SOURCE + ["block"])
