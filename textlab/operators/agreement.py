@@ -7,6 +7,7 @@ loops.  Objects are the grouping key, so work spreads over objects.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -127,33 +128,69 @@ def coder_vs_expert(long: DataFrame, expert: int, digits: int = 6) -> DataFrame:
     return both.select("rater", "n", "tp", "fp", "fn", "tn", *[F.round(m, digits).alias(m) for m in names])
 
 
-# Cumulative Poisson(1) probabilities P(K <= k), k = 0..7.
-POISSON1_CDF = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238463,
-                0.9963401531726563, 0.9994058151824183, 0.9999167588507119, 0.9999897508033253]
+# Up to this mean a Poisson weight is drawn by inverting its distribution, beyond it by its normal expansion.
+INVERTED_MEAN = 64
 
 
-def _poisson1(u: Column) -> Column:
-    e = None
-    for k, c in enumerate(POISSON1_CDF):
-        e = F.when(u < F.lit(c), F.lit(k)) if e is None else e.when(u < F.lit(c), F.lit(k))
-    return e.otherwise(F.lit(len(POISSON1_CDF)))
+def rating_profiles(long: DataFrame) -> DataFrame:
+    """(profile, m, cells): the distinct ways in which objects with two or more ratings were rated.
+
+    ``cells`` is the object's sorted list of (score, n_k), ``profile`` its text form and ``m`` the number of objects
+    that share it.  The table's size depends on raters and categories, not on the number of objects.
+    """
+    per = long.filter(F.col("score").isNotNull()).groupBy("object_id", "score").agg(F.count(F.lit(1)).alias("n_k"))
+    cells = F.array_sort(F.collect_list(F.struct("score", "n_k")))
+    objects = per.groupBy("object_id").agg(cells.alias("cells"), F.sum("n_k").alias("n_i")).filter("n_i >= 2")
+    text = F.array_join(F.transform("cells", lambda c: F.concat_ws("x", c["score"].cast("string"), c["n_k"].cast("string"))), ",")
+    return objects.groupBy("cells").agg(F.count(F.lit(1)).alias("m")).select(text.alias("profile"), "m", "cells")
+
+
+def _poisson_cdf(mean: Column) -> Column:
+    """P(K <= k) for k = 0, 1, ... until the rest is below double precision; for means up to INVERTED_MEAN."""
+    last = (mean + 9 * F.sqrt(mean) + 20).cast("int")
+    start = F.struct(F.exp(-mean).alias("p"), F.array(F.exp(-mean)).alias("cdf"))
+
+    def add(acc, k):
+        p = acc["p"] * mean / k
+        return F.struct(p.alias("p"), F.concat(acc["cdf"], F.array(F.element_at(acc["cdf"], -1) + p)).alias("cdf"))
+
+    return F.aggregate(F.sequence(F.lit(1), last), start, add, lambda acc: acc["cdf"])
+
+
+def poisson_weights(profiles: DataFrame, replicates: int, seed: int = 42) -> DataFrame:
+    """``profiles`` x replicates with a weight ``w`` ~ Poisson(m): the sum of the Poisson(1) weights of its m objects.
+
+    The draw comes from md5(seed:b:profile).  Means up to INVERTED_MEAN are inverted exactly; larger ones are rounded
+    from m + sqrt(m) z + (z^2 - 1) / 6 with a normal z (the quantile's expansion, off by one at most now and then).
+    """
+    from textlab.functions.hashing import hash_key, unit
+    m = F.col("m").cast("double")
+    small = F.col("m") <= INVERTED_MEAN
+    rows = profiles.withColumn("_cdf", F.when(small, _poisson_cdf(m)))
+    rows = rows.withColumn("b", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
+    rows = rows.withColumn("_u", unit(hash_key(F.lit(seed), "b", "profile")))
+    rows = rows.withColumn("_v", unit(hash_key(F.lit(seed), "b", "profile", F.lit("angle"))))
+    rest = F.greatest(F.lit(1.0) - F.col("_u"), F.lit(1e-17))  # its logarithm is finite
+    rows = rows.withColumn("_z", F.sqrt(F.lit(-2.0) * F.log(rest)) * F.cos(F.lit(2 * math.pi) * F.col("_v")))
+    z = F.col("_z")
+    inverted = F.size(F.filter("_cdf", lambda c: c <= F.col("_u"))).cast("bigint")
+    expanded = F.greatest(F.lit(0), F.floor(m + F.sqrt(m) * z + (z * z - 1) / 6 + 0.5)).cast("bigint")
+    return rows.select("profile", "m", "cells", "b", F.when(small, inverted).otherwise(expanded).alias("w"))
 
 
 def category_agreement_ci(long: DataFrame, replicates: int = 200, level: float = 0.95, seed: int = 42,
                           digits: int = 6) -> DataFrame:
     """Bootstrap interval of the specific agreement per category.
 
-    Poisson(1) bootstrap over objects: in replicate b an object has weight
-    K ~ Poisson(1) drawn from md5(seed:b:object); every replicate is one
-    weighted aggregation; the interval is the (1-level)/2 and (1+level)/2
-    percentiles over replicates.  (Our choice of method: the reference's
-    interval comes from an R package whose method is not in the checkout.)
+    Poisson bootstrap over objects.  Objects that were rated alike are interchangeable, so they collapse into profiles
+    first and a replicate draws one weight a profile (``poisson_weights``): profiles x replicates rows, however many
+    objects there are.  The interval is the (1-level)/2 and (1+level)/2 percentiles over replicates.  (Our choice of
+    method: the reference's interval comes from an R package whose method is not in the checkout.)
     """
-    from textlab.functions.hashing import hash_key, unit
-    c = _object_category_counts(long).filter(F.col("n_i") >= 2)
-    c = c.withColumn("b", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
-    c = c.withColumn("w", _poisson1(unit(hash_key(F.lit(seed), "b", "object_id"))))
-    per = c.groupBy("b", "score").agg(
+    drawn = poisson_weights(rating_profiles(long), replicates, seed)
+    n_i = F.aggregate("cells", F.lit(0).cast("bigint"), lambda acc, c: acc + c["n_k"])
+    rows = drawn.select("b", "w", n_i.alias("n_i"), F.inline("cells"))
+    per = rows.groupBy("b", "score").agg(
         F.sum(F.col("w") * F.col("n_k") * (F.col("n_k") - 1)).alias("num"),
         F.sum(F.col("w") * F.col("n_k") * (F.col("n_i") - 1)).alias("den"))
     per = per.withColumn("a", F.col("num") / F.nullif(F.col("den"), F.lit(0)))

@@ -70,18 +70,20 @@ def vocabulary(stats: DataFrame, min_df: int = 1, max_features: int | None = Non
 
 def term_freqs(docs: DataFrame, id_col: str | Sequence[str] = "doc_id", tokens_col: str = "tokens") -> DataFrame:
     """(keys..., term, tf) counted inside each row: sort the tokens, mark where
-    a run of equal tokens starts, emit (token, run length) -- no shuffle."""
+    a run of equal tokens starts, emit (token, run length) -- no shuffle.  Null tokens count for nothing.
+
+    ``sort_array`` compares natively; ``array_sort`` would call a lambda for every comparison."""
     keys = [id_col] if isinstance(id_col, str) else list(id_col)
-    s = docs.select(*keys, F.array_sort(tokens_col).alias("_s"))
+    s = docs.select(*keys, F.sort_array(tokens_col).alias("_s"))
     srt = F.col("_s")
     n = F.size(srt)
-    starts = F.when(n > 0, F.filter(F.sequence(F.lit(1), n), lambda i: (i == 1) | (
-        F.element_at(srt, i) != F.element_at(srt, i - 1)))).otherwise(F.array().cast("array<int>"))
+    starts = F.when(n > 0, F.filter(F.sequence(F.lit(1), n), lambda i: (i == 1) | ~(
+        F.element_at(srt, i).eqNullSafe(F.element_at(srt, i - 1))))).otherwise(F.array().cast("array<int>"))
     s = s.withColumn("_b", starts)
     b = F.col("_b")
     runs = F.transform(b, lambda x, j: F.struct(F.element_at(srt, x).alias("term"),
                                                 (F.coalesce(F.try_element_at(b, j + 2), n + 1) - x).alias("tf")))
-    return s.select(*keys, F.inline(runs))
+    return s.select(*keys, F.inline(runs)).filter(F.col("term").isNotNull())
 
 
 def tfidf(docs: DataFrame, id_col: str = "doc_id", tokens_col: str = "tokens",

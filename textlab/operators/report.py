@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textlab.functions.hashing import h60, hash_key
+from textlab.operators.rules import rule_baseline_by_group
 from textlab.operators.splits import exact_rank
 
 
@@ -30,6 +31,20 @@ def compare_variants(variants: Mapping[str, DataFrame], evaluate: Callable[[Data
     return out
 
 
+def compare_variants_at_once(docs: DataFrame, variants: Mapping[str, Column], label_col: str = "label",
+                             stamp: bool = False, **mine_kwargs) -> DataFrame:
+    """R1 with the rule baseline: all text variants (name -> array<string> of tokens) in one plan.
+
+    The variants are unpivoted, (variant, tokens) rows of the same document, so that documents are scanned once to mine
+    and once to predict instead of twice for each variant."""
+    arms = F.array(*[F.struct(F.lit(name).alias("text_col"), toks.alias("tokens")) for name, toks in variants.items()])
+    rows = docs.select(F.col(label_col).alias("label"), F.inline(arms))
+    out = rule_baseline_by_group(rows, "text_col", list(variants), "label", "tokens", **mine_kwargs)
+    # One row per variant.
+    out = out.withColumn("rank", F.row_number().over(Window.orderBy(F.col("f1").desc(), F.col("text_col"))))
+    return out.withColumn("run_at", F.current_timestamp()) if stamp else out
+
+
 def centroid(vectors: DataFrame, vec_col: str) -> Column:
     """Element-wise mean vector (scalar subquery; length = vector dimension)."""
     ex = vectors.select(F.posexplode(vec_col).alias("_i", "_v")).groupBy("_i").agg(F.avg("_v").alias("_m"))

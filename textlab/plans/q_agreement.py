@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from textlab.operators import agreement as A
@@ -121,19 +123,27 @@ def q_coder_vs_expert(spark, sf_dir):
     return A.coder_vs_expert(ratings(spark, sf_dir), expert=3)
 
 
-def _poisson_sql(u: str) -> str:
-    cases = " ".join(f"WHEN {u} < {c!r} THEN {k}" for k, c in enumerate(A.POISSON1_CDF))
-    return f"CASE {cases} ELSE {len(A.POISSON1_CDF)} END"
+_U = unit_sql("'42:' || CAST(b AS VARCHAR) || ':' || profile")
+_V = unit_sql("'42:' || CAST(b AS VARCHAR) || ':' || profile || ':angle'")
+_Z = f"(sqrt(-2.0 * ln(greatest(1.0 - {_U}, 1e-17))) * cos({2 * math.pi!r} * {_V}))"
 
 
-@register("category_agreement_ci", "WITH " + RATINGS_SQL + f""",
+@register("category_agreement_ci", "WITH RECURSIVE " + RATINGS_SQL + f""",
 r AS (SELECT * FROM ratings WHERE score IS NOT NULL),
-obj AS (SELECT object_id, count(*) AS n_i FROM r GROUP BY object_id),
 cat AS (SELECT object_id, score, count(*) AS n_k FROM r GROUP BY object_id, score),
-c AS (SELECT * FROM cat JOIN obj USING (object_id) WHERE n_i >= 2),
-cb AS (SELECT c.*, b FROM c, (SELECT unnest(range(1, 201)) AS b) bb),
-cw AS (SELECT *, {_poisson_sql(unit_sql("'42:' || CAST(b AS VARCHAR) || ':' || CAST(object_id AS VARCHAR)"))} AS w FROM cb),
-per AS (SELECT b, score, sum(w * n_k * (n_k - 1)) / nullif(sum(w * n_k * (n_i - 1)), 0) AS a FROM cw GROUP BY b, score)
+obj AS (SELECT object_id, sum(n_k)::BIGINT AS n_i, string_agg(score::VARCHAR || 'x' || n_k::VARCHAR, ',' ORDER BY score) AS profile
+        FROM cat GROUP BY object_id HAVING sum(n_k) >= 2),
+pm AS (SELECT profile, count(*) AS m FROM obj GROUP BY profile),
+cells AS (SELECT DISTINCT profile, score, n_k, n_i FROM obj JOIN cat USING (object_id)),
+cdf AS (SELECT profile, m, 0 AS k, exp(-m::DOUBLE) AS p, exp(-m::DOUBLE) AS c FROM pm WHERE m <= {A.INVERTED_MEAN}
+        UNION ALL
+        SELECT profile, m, k + 1, p * m / (k + 1), c + p * m / (k + 1) FROM cdf WHERE k < CAST(floor(m + 9 * sqrt(m) + 20) AS INTEGER)),
+pb AS (SELECT profile, m, b, {_U} AS u, {_Z} AS z FROM pm, (SELECT unnest(range(1, 201)) AS b) bb),
+pw AS (SELECT profile, b, CASE WHEN m <= {A.INVERTED_MEAN}
+         THEN (SELECT count(*) FROM cdf WHERE cdf.profile = pb.profile AND cdf.c <= pb.u)
+         ELSE greatest(0, floor(m + sqrt(m) * z + (z * z - 1) / 6 + 0.5))::BIGINT END AS w FROM pb),
+per AS (SELECT b, score, sum(w * n_k * (n_k - 1)) / nullif(sum(w * n_k * (n_i - 1)), 0) AS a
+        FROM pw JOIN cells USING (profile) GROUP BY b, score)
 SELECT score, round(quantile_cont(a, 0.025), 6) AS ci_low, round(quantile_cont(a, 0.975), 6) AS ci_high,
        count(a) AS replicates
 FROM per GROUP BY score""")

@@ -43,8 +43,8 @@ def q_variant_comparison(spark, sf_dir):
     d = read_table(spark, sf_dir, "documents")
     lab = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
     j = d.join(lab, "doc_id")
-    variants = {name: j.select("doc_id", "label", tokens(c).alias("tokens")) for name, c in _variant_cols().items()}
-    out = RP.compare_variants(variants, lambda df: R.rule_baseline(df, "label", "tokens", **_KW))
+    variants = {name: tokens(c) for name, c in _variant_cols().items()}
+    out = RP.compare_variants_at_once(j, variants, **_KW)
     return out.withColumn("rank", F.col("rank").cast("bigint"))
 
 

@@ -1,24 +1,18 @@
 """Readers and writers.
 
-Every reader takes an explicit schema (no inference on large inputs).
-Archives are read with ``binaryFile`` and expanded in ``mapInPandas``: one
-task per archive, members streamed out as Arrow batches, never through the
-driver.
+Every reader takes an explicit schema (no inference on large inputs).  Large
+archives and JSON arrays are split over tasks by ``sources/split.py``.
 """
 
 from __future__ import annotations
 
-import io
 import json
-import zipfile
 
-import pandas as pd
-import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CHUNK_ROWS = 10_000
+from textlab.sources.split import read_archive_members, read_json_records  # noqa: F401
 
 # Schema of a labelling-tool export (the fields the pipeline uses).
 EXPORT_SCHEMA = T.StructType([
@@ -43,7 +37,9 @@ RESULTS_SCHEMA = T.StructType([
 
 
 def read_annotation_export(spark: SparkSession, path: str, schema: T.StructType = EXPORT_SCHEMA) -> DataFrame:
-    """A JSON array (or JSON lines) export with an explicit nested schema."""
+    """A JSON array (or JSON lines) export with an explicit nested schema; a file is one task.
+
+    ``read_json_records`` splits one large file over tasks and keeps broken records."""
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
@@ -74,37 +70,6 @@ def write_delivery(all_rows: DataFrame, positives: DataFrame, path: str) -> None
             .option("header", True).csv(f"{path.rstrip('/')}/{name}")
 
 
-def read_archive_members(spark: SparkSession, path: str, schema: str | T.StructType, member_glob: str = "*.csv",
-                         fmt: str = "csv") -> DataFrame:
-    """Rows of the CSV/Parquet members of zip archives at ``path``.
-
-    One task per archive; CSV members are read as strings in chunks and cast
-    by Spark to ``schema`` (an id ``00123`` keeps its zeros), Parquet members
-    batch by batch."""
-    import fnmatch
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("content")
-    st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
-    names = [f.name for f in st.fields]
-    raw = T.StructType([T.StructField(n, T.StringType()) for n in names]) if fmt == "csv" else st
-
-    def expand(batches):
-        for pdf in batches:
-            for blob in pdf["content"]:
-                with zipfile.ZipFile(io.BytesIO(blob)) as z:
-                    for m in z.namelist():
-                        if not fnmatch.fnmatch(m, member_glob):
-                            continue
-                        with z.open(m) as fh:
-                            if fmt == "csv":
-                                for chunk in pd.read_csv(fh, dtype=str, chunksize=CHUNK_ROWS):
-                                    chunk = chunk[names].astype(object)
-                                    yield chunk.where(chunk.notna(), None)
-                            else:
-                                for part in pq.ParquetFile(io.BytesIO(fh.read())).iter_batches(CHUNK_ROWS, columns=names):
-                                    yield part.to_pandas()[names]
-    return files.mapInPandas(expand, raw).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in st.fields])
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists in the file system that Spark resolves it to."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
