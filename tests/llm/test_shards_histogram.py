@@ -28,7 +28,12 @@ def test_hot_text_edges_and_balance(spark):
 
 def test_one_repeated_row(spark):
     df = spark.createDataFrame([(1, "same")] * 50, "doc_id long, text string")
-    check(assign_shards(df, 8).collect(), [(1, "same")] * 50, 8, 10**9)
+    check(assign_shards(df, 8).collect(), [(1, "same")] * 50, 8, 5)
+    many = [(1, "same")] * 800 + [(i, f"text {i}") for i in range(800)] + [(2, "x" * 3000)]
+    df = spark.createDataFrame(many, "doc_id long, text string").repartition(7)
+    rows = assign_shards(df, 4, tolerance=0.001).collect()
+    check(rows, many, 4, 3001)
+    assert len({r["shard"] for r in rows if r["doc_id"] == 1}) > 1
 
 
 def test_table_and_files(spark, sf_dir, tmp_path):

@@ -4,8 +4,9 @@ Documents are ordered by (hash of the text, id), so equal texts lie together, an
 The cuts are found before anything is exchanged: each round counts the exact bytes below many candidate boundaries at
 once (an aggregation with partial sums over all partitions), keeps for every cut the interval between two candidates
 that holds its target, and puts the next candidates inside it, until an interval holds no more bytes than the
-tolerance.  An interval of one hash value (a text with many copies) is split by id, so a hot group of equal texts is
-cut like any other.  Then rows move once, range-partitioned by (shard, hash, id).
+tolerance.  An interval of one hash value (a text with many copies) is split by id, one of one hash and id (a repeated
+row) by a number that each row got when the keys were written, so a hot group of equal texts or rows is cut like any
+other.  Then rows move once, range-partitioned by (shard, hash, id, number).
 
 Law: ``bytes``.  A document's size is the UTF-8 bytes of its text plus 1.
 
@@ -14,7 +15,9 @@ cut to the driver, whatever the input.  The tolerance is a share of a shard, so
 the input beyond the key's width.
 
 Defined cases: a null text has no bytes and hashes as the empty text; a null id is ordered before all others; repeated
-rows have equal keys and stay on one side of a cut; an empty table gives an empty result; other columns do not enter
+rows are spread like others by ``assign_shards`` (which of them goes where depends on their input files), while in
+``write_shards`` they have equal keys and stay on one side of a cut; a very long text is one row of its size, and a shard
+cannot be more equal than that; an empty table gives an empty result; other columns do not enter
 (``write_shards`` writes them).
 """
 
@@ -35,10 +38,11 @@ _LEAST = -(1 << 63)
 
 @dataclass(frozen=True)
 class Cut:
-    """Rows before (hash, id) lie below the cut; hash None: below all keys' end."""
+    """Rows before (hash, id, tie) lie below the cut; hash None: below all keys' end."""
 
     hash: int | None
     id: int = _LEAST
+    tie: int = _LEAST
 
 
 @dataclass(frozen=True)
@@ -50,6 +54,7 @@ class _Open:
     shift: int  # candidates are ``1 << shift`` apart
     prefix: int | None  # key >> (shift + PROBE_BITS); None: all keys
     hash: int | None = None  # set: the keys are ids of this hash
+    id: int | None = None  # set too: the keys are ties of this hash and id
 
 
 def _keys(text: Column, doc_id: Column) -> tuple[Column, Column, Column]:
@@ -67,83 +72,97 @@ def _round(rows: DataFrame, open_: list[_Open]) -> dict[int, list]:
     """For each open interval its candidates in order, with bytes and least and greatest keys between them."""
     number, bucket = F.lit(None).cast("int"), F.lit(None).cast("bigint")
     for k, o in reversed(list(enumerate(open_))):
-        key = F.col("_hash") if o.hash is None else F.col("_id")
+        key = F.col("_hash" if o.hash is None else "_id" if o.id is None else "_tie")
         inside = F.lit(True) if o.hash is None else F.col("_hash") == o.hash
+        if o.id is not None:
+            inside = inside & (F.col("_id") == o.id)
         if o.prefix is not None:
             inside = inside & (F.shiftright(key, o.shift + PROBE_BITS) == o.prefix)
         number = F.when(inside, F.lit(k)).otherwise(number)
         bucket = F.when(inside, F.shiftright(key, o.shift)).otherwise(bucket)
-    counted = (rows.select(number.alias("k"), bucket.alias("b"), "size", "_hash", "_id").where("k is not null")
+    counted = (rows.select(number.alias("k"), bucket.alias("b"), "size", "_hash", "_id", "_tie").where("k is not null")
                .groupBy("k", "b").agg(F.sum("size").alias("bytes"), F.min("_hash").alias("h0"), F.max("_hash").alias("h1"),
-                                      F.min("_id").alias("i0"), F.max("_id").alias("i1")).orderBy("k", "b").collect())
+                                      F.min("_id").alias("i0"), F.max("_id").alias("i1"),
+                                      F.min("_tie").alias("t0"), F.max("_tie").alias("t1")).orderBy("k", "b").collect())
     out: dict[int, list] = {}
     for r in counted:
         out.setdefault(r["k"], []).append(r)
     return out
 
 
+def _inside(target: float, below: int, low: int, high: int, hash_: int | None = None, id_: int | None = None) -> _Open:
+    """The interval of the keys low..high."""
+    s = _shift(low, high)
+    return _Open(target, below, s, low >> (s + PROBE_BITS) if s + PROBE_BITS < 64 else None, hash_, id_)
+
+
 def find_cuts(rows: DataFrame, shards: int, tolerance: float = TOLERANCE) -> list[Cut]:
-    """The ``shards - 1`` cuts of ``rows`` (_hash, _id, size)."""
+    """The ``shards - 1`` cuts of ``rows`` (_hash, _id, _tie, size)."""
     whole = rows.agg(F.sum("size").alias("bytes"), F.min("_hash").alias("h0"), F.max("_hash").alias("h1")).first()
     total = whole["bytes"] or 0
     if not total:
         return [Cut(None)] * (shards - 1)
     most = total / shards * tolerance
     cuts: dict[float, Cut] = {}
-    shift = _shift(whole["h0"], whole["h1"])
     targets = [total * i / shards for i in range(1, shards)]
-    open_ = {t: _Open(t, 0, shift, whole["h0"] >> (shift + PROBE_BITS) if shift + PROBE_BITS < 64 else None) for t in targets}
+    open_ = {t: _inside(t, 0, whole["h0"], whole["h1"]) for t in targets}
     while open_:
-        asked = list(dict.fromkeys((o.below, o.shift, o.prefix, o.hash) for o in open_.values()))
+        asked = list(dict.fromkeys((o.below, o.shift, o.prefix, o.hash, o.id) for o in open_.values()))
         counts = _round(rows, [_Open(0, *a) for a in asked])
         for target, o in list(open_.items()):
             below = o.below
-            for r in counts[asked.index((o.below, o.shift, o.prefix, o.hash))]:
+            for r in counts[asked.index((o.below, o.shift, o.prefix, o.hash, o.id))]:
                 if below + r["bytes"] >= target:
                     break
                 below += r["bytes"]
             above = below + r["bytes"]
-            single = r["h0"] == r["h1"] and r["i0"] == r["i1"]
-            if above - below <= most or single or above == target:
-                cuts[target] = _after(r, o.hash) if above - target <= target - below else _before(r, o.hash)
+            one_text, one_key = r["h0"] == r["h1"], r["h0"] == r["h1"] and r["i0"] == r["i1"]
+            if above - below <= most or (one_key and r["t0"] == r["t1"]) or above == target:
+                cuts[target] = _after(r, o) if above - target <= target - below else _before(r, o)
                 del open_[target]
-            elif r["h0"] == r["h1"]:
-                s = _shift(r["i0"], r["i1"])
-                open_[target] = _Open(target, below, s, r["i0"] >> (s + PROBE_BITS) if s + PROBE_BITS < 64 else None, r["h0"])
+            elif one_key:
+                open_[target] = _inside(target, below, r["t0"], r["t1"], r["h0"], r["i0"])
+            elif one_text:
+                open_[target] = _inside(target, below, r["i0"], r["i1"], r["h0"])
             else:
-                s = _shift(r["h0"], r["h1"])
-                open_[target] = _Open(target, below, s, r["h0"] >> (s + PROBE_BITS) if s + PROBE_BITS < 64 else None)
+                open_[target] = _inside(target, below, r["h0"], r["h1"])
     return [cuts[t] for t in targets]
 
 
-def _before(r, hash_: int | None) -> Cut:
-    return Cut(r["h0"]) if hash_ is None else Cut(hash_, r["i0"])
+def _before(r, o: _Open) -> Cut:
+    return Cut(r["h0"]) if o.hash is None else Cut(o.hash, r["i0"]) if o.id is None else Cut(o.hash, o.id, r["t0"])
 
 
-def _after(r, hash_: int | None) -> Cut:
-    if hash_ is None:
-        return Cut(r["h1"] + 1) if r["h1"] < (1 << 63) - 1 else Cut(None)
-    return Cut(hash_, r["i1"] + 1) if r["i1"] < (1 << 63) - 1 else _after(r, None)
+def _after(r, o: _Open) -> Cut:
+    most = (1 << 63) - 1
+    if o.id is not None and r["t1"] < most:
+        return Cut(o.hash, o.id, r["t1"] + 1)
+    if o.hash is not None and r["i1"] < most:
+        return Cut(o.hash, r["i1"] + 1)
+    return Cut(r["h1"] + 1) if r["h1"] < most else Cut(None)
 
 
 def shard_of(cuts: list[Cut]) -> Column:
-    """The shard of a row with columns _hash and _id: how many cuts lie at or before it."""
+    """The shard of a row with columns _hash, _id and _tie: how many cuts lie at or before it."""
+    h, i, t = F.col("_hash"), F.col("_id"), F.col("_tie")
     at = F.lit(0)
     for c in cuts:
         if c.hash is not None:
-            at = at + F.when((F.col("_hash") > c.hash) | ((F.col("_hash") == c.hash) & (F.col("_id") >= c.id)), 1).otherwise(0)
+            beyond = (h > c.hash) | ((h == c.hash) & ((i > c.id) | ((i == c.id) & (t >= c.tie))))
+            at = at + F.when(beyond, 1).otherwise(0)
     return at.cast("int")
 
 
 def assign_shards(docs: DataFrame, shards: int, tolerance: float = TOLERANCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, size, text_crc32, shard, and slot (its place in the shard, from 0)."""
     text, doc_id = F.col(f"`{text_col}`"), F.col(f"`{id_col}`")
-    rows, rows_path = written(docs.select(doc_id.cast("bigint").alias("doc_id"), *_keys(text, doc_id),
+    # The numbers are written with the keys, so every later reading sees the same ones.
+    rows, rows_path = written(docs.select(doc_id.cast("bigint").alias("doc_id"), *_keys(text, doc_id), F.monotonically_increasing_id().alias("_tie"),
                                           F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32")), "sizes")
     cuts = find_cuts(rows, shards, tolerance)
-    ordered = (rows.withColumn("shard", shard_of(cuts)).repartitionByRange("shard", "_hash", "_id")
-               .sortWithinPartitions("shard", "_hash", "_id")
-               .withColumn("_at", F.monotonically_increasing_id()).drop("_hash", "_id"))
+    ordered = (rows.withColumn("shard", shard_of(cuts)).repartitionByRange("shard", "_hash", "_id", "_tie")
+               .sortWithinPartitions("shard", "_hash", "_id", "_tie")
+               .withColumn("_at", F.monotonically_increasing_id()).drop("_hash", "_id", "_tie"))
     placed, _ = written(ordered, "shards")
     discard(rows, rows_path)
     # The place inside a task's part of a shard, plus what the tasks before it hold of that shard.
@@ -158,14 +177,15 @@ def assign_shards(docs: DataFrame, shards: int, tolerance: float = TOLERANCE, id
 def write_shards(docs: DataFrame, path: str, shards: int, tolerance: float = TOLERANCE, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write whole rows as Parquet files under ``path``/shard=k, in shard order, after one exchange.
 
-    Columns named shard, _hash or _id are left out of the files.
+    Columns named shard, _hash, _id or _tie are left out of the files.
     """
     hash_, id_, size = _keys(F.col(f"`{text_col}`"), F.col(f"`{id_col}`"))
-    rows, rows_path = written(docs.select(hash_, id_, size), "sizes")
+    tie = F.lit(0).cast("bigint").alias("_tie")
+    rows, rows_path = written(docs.select(hash_, id_, size, tie), "sizes")
     cuts = find_cuts(rows, shards, tolerance)
     discard(rows, rows_path)
-    (docs.drop("_hash", "_id", "shard").select("*", hash_, id_).withColumn("shard", shard_of(cuts))
-     .repartitionByRange("shard", "_hash", "_id").sortWithinPartitions("shard", "_hash", "_id").drop("_hash", "_id")
+    (docs.drop("_hash", "_id", "_tie", "shard").select("*", hash_, id_, tie).withColumn("shard", shard_of(cuts))
+     .repartitionByRange("shard", "_hash", "_id").sortWithinPartitions("shard", "_hash", "_id").drop("_hash", "_id", "_tie")
      .write.partitionBy("shard").parquet(path))
 
 
