@@ -66,3 +66,13 @@ def test_mask_and_frame(spark):
     got = detect(df).collect()
     assert len(got) == 5 and sum(len(r["spans"]) for r in got) == 3
     assert detect(df.limit(0)).count() == 0
+
+
+def test_cues_in_any_case():
+    for cue in ("Customer ID", "customer Id", "Account No", "ACCOUNT", "aCCt", "Konto", "SSN"):
+        text = f"é İ {cue}: 1234567890"
+        at = text.index("1234567890")
+        assert ("account", at, at + 10) in find_spans(text), cue
+    text = "iBAN DE89 3704 0044 0532 0130 00 and MailTo:jo@ex.org"
+    assert ("account", 5, 32) in find_spans(text)
+    assert any(k == "address" for k, _, _ in find_spans(text))

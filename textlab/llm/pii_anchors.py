@@ -41,7 +41,7 @@ BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "address", "account")
 ORDER = {k: i for i, k in enumerate(KINDS)}
 
-#: Words that announce an account or identity number (fixed values).
+#: Words that announce an account or identity number, in any case (fixed values).
 CUES = ("iban", "account", "acct", "konto", "cuenta", "compte", "ssn", "passport", "customer id", "member id")
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -50,13 +50,16 @@ _IP_CHAIN = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CARD_CHAIN = re.compile(r"[0-9](?:[\x20-]?[0-9])*")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _USER_URL = re.compile(r"[A-Za-z0-9._~%!$&'*+,;=:-]+@[A-Za-z0-9.-]+(?::[0-9]+)?(?:/[^\s<>\"']*)?")
-_CUE_NUMBER = re.compile(r"[\x20:#=.]{0,3}(?:(?:no|nr|num|number|nummer|id)\b[\x20:#=.]{0,3})?"
+_CUE_NUMBER = re.compile(r"[\x20:#=.]{0,3}(?:(?i:no|nr|num|number|nummer|id)\b[\x20:#=.]{0,3})?"
                          r"([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}|[0-9](?:[\x20-]?[0-9]){5,19})(?![A-Za-z0-9])")
 _STATE: dict[str, ahocorasick.Automaton] = {}
 
 
+_LOWER = {upper: upper + 32 for upper in range(ord("A"), ord("Z") + 1)}
+
+
 def _anchors() -> ahocorasick.Automaton:
-    """The automaton; one per Python worker."""
+    """The automaton, in lower case; one per Python worker."""
     if not _STATE:
         found = ahocorasick.Automaton()
         found.add_word("@", ("at", 1))
@@ -64,11 +67,9 @@ def _anchors() -> ahocorasick.Automaton:
         for c in "0123456789":
             found.add_word(c, ("digit", 1))
         found.add_word("://", ("url", 3))
-        for scheme in ("mailto:", "MAILTO:", "Mailto:"):
-            found.add_word(scheme, ("mail", len(scheme)))
+        found.add_word("mailto:", ("mail", 7))
         for cue in CUES:
-            for form in {cue, cue.upper(), cue.capitalize()}:
-                found.add_word(form, ("cue", len(form)))
+            found.add_word(cue, ("cue", len(cue)))
         found.make_automaton()
         _STATE["anchors"] = found
     return _STATE["anchors"]
@@ -113,7 +114,8 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
         return []
     out: list[tuple[str, int, int]] = []
     email_end = ip_end = card_end = account_end = address_end = 0
-    for last, (kind, size) in _anchors().iter(text):
+    # Only A-Z are lowered, so places stay the same.
+    for last, (kind, size) in _anchors().iter(text.lower() if text.isascii() else text.translate(_LOWER)):
         if kind == "digit":
             if last >= ip_end:
                 items, ip_end = _ip_items(text, last)
