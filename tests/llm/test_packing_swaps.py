@@ -1,6 +1,7 @@
 import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -12,7 +13,6 @@ from textlab.llm.packing_swaps import best_fit_decreasing, cut_points, local_sea
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 PLAIN = Tokenizer.from_file(PATH)
-PLAIN.encode_special_tokens = True
 
 
 def test_ids_equal_the_tokenizer():
@@ -68,3 +68,53 @@ def test_documents(spark, sf_dir):
     assert len(bins) <= len(best_fit_decreasing(lengths, 1024))
     assert len(bins) <= 1.005 * math.ceil(lengths.sum() / 1024)
     assert pack_documents(docs.limit(0), PATH).count() == 0
+
+
+def test_repeated_rows_spread_over_the_groups(spark):
+    rows = [(1, "same text")] * 10_000 + [(None, None)] * 3000
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = pack_documents(docs, PATH, group_rows=1000).collect()
+    assert len(got) == 13_000
+    groups = Counter(r["sequence_id"] >> 32 for r in got)
+    assert len(groups) == 13 and max(groups.values()) < 2500
+    bins = {}
+    for r in got:
+        bins.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for items in bins.values():
+        items.sort()
+        assert [o for o, _ in items] == [sum(n for _, n in items[:k]) for k in range(len(items))]
+        assert sum(n for _, n in items) <= 1024
+
+
+def _fewest(lengths, capacity):
+    """The least number of bins, by trying every place."""
+    best = len(lengths)
+
+    def place(k, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if k == len(lengths):
+            best = len(rooms)
+            return
+        for r in sorted(set(rooms)):
+            if r >= lengths[k]:
+                left = list(rooms)
+                left.remove(r)
+                place(k + 1, left + [r - lengths[k]])
+        place(k + 1, rooms + [capacity - lengths[k]])
+
+    place(0, [])
+    return best
+
+
+def test_number_of_bins_against_every_packing():
+    rng = random.Random(8)
+    exact = 0
+    for _ in range(120):
+        lengths = np.array(sorted((rng.randint(10, 60) for _ in range(9)), reverse=True))
+        out = local_search(best_fit_decreasing(lengths, 100), lengths, 100)
+        least = _fewest(lengths.tolist(), 100)
+        assert least <= len(out) <= least + 1
+        exact += len(out) == least
+    assert exact >= 114

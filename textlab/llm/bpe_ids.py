@@ -3,8 +3,8 @@
 Byte-level BPE cuts a text before its merges; a single blank between two characters that are not white space always
 starts a new part.  So a text's ids are those of its blank-separated words put together, and words repeat: each worker
 keeps the ids of words it has met (a bounded memo) and hands only new ones to the library's BPE model.  Where white
-space touches a blank the rule does not hold, and the whole text goes to the tokenizer.  Either way the ids are the
-tokenizer's own.
+space touches a blank the rule does not hold, nor in a text that holds the string of an added token (``<|endoftext|>``):
+such a whole text goes to the tokenizer.  Either way the ids are the tokenizer's own.
 """
 
 from __future__ import annotations
@@ -45,7 +45,8 @@ class WordIds:
 
     def __init__(self, vocabulary: str, memo_words: int = MEMO_WORDS):
         self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        #: Strings that the tokenizer cuts out of a text before all else and gives one id.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         self.memo: dict[str, bytes | None] = {}
         self.firsts: dict[str, bytes | None] = {}
@@ -67,6 +68,8 @@ class WordIds:
     def ids(self, text: str) -> bytes:
         if not text:
             return b""
+        if any(a in text for a in self.added):
+            return _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
         words = text.split(" ")
         memo = self.memo
         found = list(map(memo.get, words))

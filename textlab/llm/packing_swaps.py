@@ -11,7 +11,7 @@ A group holds about ``GROUP_ROWS`` documents' pieces, so a task's memory does no
 groups does.  Each group wastes less than about one sequence.
 
 Defined cases: null texts count as empty and give one piece that holds the closing id alone; repeated rows are packed
-each for itself; equal lengths are placed in order of id, piece and crc; a very long text gives as many pieces as it
+each for itself and spread over the groups in blocks of 64; equal lengths are placed in order of id, piece and crc; a very long text gives as many pieces as it
 needs; an empty table gives an empty result; other columns do not enter.
 """
 
@@ -33,6 +33,7 @@ from textlab.llm.bpe_ids import worker_ids
 CAPACITY = 1024
 CLOSING_ID = 2
 GROUP_ROWS = 8192
+COPIES = 64  # of a repeated row that are dealt together
 
 
 def cut_points(length: int, capacity: int) -> list[tuple[int, int]]:
@@ -200,14 +201,21 @@ def pack_group(frame: pd.DataFrame, capacity: int) -> pd.DataFrame:
 
 def pack(pieces: DataFrame, groups: int, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` (see ``pieces_of``) with ``sequence_id`` and ``offset``."""
-    group = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(5)), F.lit(groups))
+    # Equal rows are counted and dealt in blocks, or all copies of a repeated row would fall into one group.
+    equal = pieces.groupBy("doc_id", "piece", "start", "length", "ids_crc32").agg(F.count(F.lit(1)).alias("_n"))
+    last = F.floor((F.col("_n") - 1) / COPIES).cast("bigint")
+    blocks = equal.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("_block"))
+    blocks = blocks.withColumn("_n", F.least(F.lit(COPIES), F.col("_n") - F.col("_block") * COPIES).cast("int"))
+    group = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "_block", F.lit(5)), F.lit(groups))
+    dealt = blocks.withColumn("_group", group).drop("_block")
 
     def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        packed = pack_group(frame.drop(columns="_group"), capacity)
+        frame = frame.loc[np.repeat(np.arange(len(frame)), frame["_n"].to_numpy())]
+        packed = pack_group(frame.drop(columns=["_group", "_n"]), capacity)
         packed["sequence_id"] = (int(key[0]) << 32) + packed.pop("bin")
         return packed[["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]]
 
-    return pieces.withColumn("_group", group).groupBy("_group").applyInPandas(
+    return dealt.groupBy("_group").applyInPandas(
         run, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint")
 
 
