@@ -124,18 +124,26 @@ def dual_coordinate_descent(rows, values, first, y, dims: int, cost: float = 1.0
 
 def logistic_curve(margin: np.ndarray, y01: np.ndarray, prior: float = 0.5, steps: int = 50) -> tuple[float, float]:
     """Newton fit of P(1) = 1 / (1 + exp(-(slope * margin + offset))) with smoothed targets, classes weighted to the share
-    ``prior`` of class 1."""
+    ``prior`` of class 1.  A step that does not lower the loss is halved, so large margins cannot make it swing."""
     pos, neg = int(y01.sum()), int((1 - y01).sum())
     target = np.where(y01 == 1, (pos + 1.0) / (pos + 2.0), 1.0 / (neg + 2.0))
     weight = np.where(y01 == 1, prior / max(pos, 1), (1 - prior) / max(neg, 1)) * len(y01)
     x = np.stack([margin, np.ones_like(margin)], axis=1)
-    beta = np.array([2.0, 0.0])
+    beta = np.array([0.0, np.log(prior / (1 - prior))])
+
+    def loss(beta: np.ndarray) -> float:
+        z = x @ beta
+        return float((weight * (np.logaddexp(0, z) - target * z)).sum() + 0.5e-3 * beta[0] ** 2)
+
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
         grad = x.T @ (weight * (p - target)) + np.array([1e-3 * beta[0], 0.0])
         hess = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
         move = np.linalg.solve(hess, grad)
-        beta -= np.clip(move, -5, 5)
+        now = loss(beta)
+        while np.abs(move).max() >= 1e-8 and loss(beta - move) > now:
+            move = move / 2
+        beta = beta - move
         if np.abs(move).max() < 1e-8:
             break
     return float(beta[0]), float(beta[1])

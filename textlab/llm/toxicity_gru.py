@@ -1,18 +1,19 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling over character and word inputs.
 
-A text's words are read in windows of ``WINDOW`` words that overlap by half.  A word's input is its word vector (a
+A text's words are read in windows of ``WINDOW`` words that overlap by half; a run of over ``LONGEST`` bytes without a blank is
+cut at character bounds into pieces that count as words, so texts without blanks have windows too.  A word's input is its word vector (a
 hashed table) beside the mean of the vectors of its character runs (``GRAM`` bytes, the word's edges included, also
 hashed), so an unseen word is known by its parts.  Two gated recurrent layers read a window in both directions; attention
 weighs their states, and a linear layer scores the weighted mean.  A text's margin is that of its most toxic window,
 turned into a probability by a logistic curve.
 
 Training (numpy, backpropagation through time, Adam) knows labels of whole texts only.  One component of each table
-starts as the log ratio of how often toxic and other sample texts hold the bucket.  Then rounds follow: the network
+starts as the log ratio of how often toxic and other texts it learns from hold the bucket.  Then rounds follow: the network
 scores all windows of the sample (in the first round the starting ratios do); each toxic text gives its best window as a positive case, the other texts their four best
 and as many random windows as negative cases.
 
 Scale: the sample has at most ``2 * per_class`` texts and is fitted in one task; scoring is one scan with the model
-(under 2 MB) broadcast, in pieces of about a megabyte, and shuffles nothing.
+(under 3 MB) broadcast, in pieces of about a megabyte, and shuffles nothing.
 
 Defined cases: null and empty texts have no window and score as a margin of ``EMPTY_MARGIN``; repeated rows each get
 their row; ties between windows do not matter for a maximum; an empty table gives an empty result; without both classes
@@ -33,15 +34,16 @@ from pyspark.sql import functions as F
 
 from textlab.llm.fitdata import id_fold, sample_labels
 from textlab.llm.quality_nbsvm import logistic_curve
-from textlab.llm.textkit import Words, map_batches, mix64, pieces, utf8_buffer
+from textlab.llm.textkit import Words, map_batches, mix64, pieces, span_hash, utf8_buffer
 
 WINDOW = 24
 STRIDE = 12
-GRAM = 4
-BUCKETS = 1 << 14
+LONGEST = 16
+GRAM = 6
+BUCKETS = 1 << 16
 WORD_DIMS = 4
 GRAM_DIMS = 6
-HIDDEN = 6
+HIDDEN = 12
 PER_CLASS = 1500
 SCORE_CUT = 0.3
 EMPTY_MARGIN = -8.0
@@ -75,10 +77,14 @@ class Inputs:
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         words = Words(data, offsets)
-        self.first = words.first
-        _, at, self.word_of = np.unique(words.hash, return_index=True, return_inverse=True)
-        self.word_bucket = (words.hash[at] % np.uint64(BUCKETS)).astype(np.int64)
-        start, length = words.start[at], words.end[at] - words.start[at]
+        begin, end, value = words.start, words.end, words.hash
+        if len(begin) and (end - begin).max() > LONGEST:
+            begin, end = cut_runs(data, begin, end)
+            value = span_hash(words.prefix, begin, end)
+        self.first = np.searchsorted(begin, offsets)
+        _, at, self.word_of = np.unique(value, return_index=True, return_inverse=True)
+        self.word_bucket = (value[at] % np.uint64(BUCKETS)).astype(np.int64)
+        start, length = begin[at], end[at] - begin[at]
         # A word's bytes with an edge mark on both sides, cut into runs of GRAM bytes (one run if it is short).
         runs = np.maximum(length + 2 - GRAM + 1, 1)
         self.gram_first = np.concatenate([[0], np.cumsum(runs)])
@@ -122,6 +128,17 @@ class Inputs:
         return self.word_of[np.where(mask, at, start[:, None])], mask
 
 
+def cut_runs(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The spans cut into ones of about ``LONGEST`` bytes, each cut moved back to the beginning of its character."""
+    parts = -(-(end - start) // LONGEST)
+    number = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+    begins = np.repeat(start, parts) + number * LONGEST
+    for _ in range(3):
+        begins -= (number > 0) & (data[begins] & 0xC0 == 0x80)
+    last = np.append(number[1:] == 0, True)
+    return begins, np.where(last, np.repeat(end, parts), np.append(begins[1:], 0))
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-x))
 
@@ -229,16 +246,18 @@ def _sums(bucket: np.ndarray, values: np.ndarray) -> np.ndarray:
     return np.stack([np.bincount(bucket, weights=column, minlength=BUCKETS) for column in values.T], axis=1).astype(values.dtype)
 
 
-def _log_ratios(bucket: np.ndarray, text: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """For each bucket the smoothed log ratio of the shares of toxic and other texts that hold it, shrunk where few do."""
-    seen = np.unique(text * BUCKETS + bucket)
+def _log_ratios(bucket: np.ndarray, text: np.ndarray, y: np.ndarray, use: np.ndarray) -> np.ndarray:
+    """For each bucket the smoothed log ratio of the shares of toxic and other texts of ``use`` that hold it, shrunk where few do."""
+    seen = np.unique(text[use[text]] * BUCKETS + bucket[use[text]])
     toxic = y[seen // BUCKETS] == 1
     held = [np.bincount(seen[m] % BUCKETS, minlength=BUCKETS) for m in (toxic, ~toxic)]
-    ratio = np.log((held[0] + 1) / (y.sum() + 2)) - np.log((held[1] + 1) / ((1 - y).sum() + 2))
+    ratio = np.log((held[0] + 1) / (y[use].sum() + 2)) - np.log((held[1] + 1) / ((1 - y[use]).sum() + 2))
     return ratio * (held[0] + held[1]) / (held[0] + held[1] + 3)
 
 
-def start_parts(inputs: Inputs, y: np.ndarray, seed: int = 3, dtype=np.float32) -> dict[str, np.ndarray]:
+def start_parts(inputs: Inputs, y: np.ndarray, seed: int = 3, dtype=np.float32, use: np.ndarray | None = None) -> dict[str, np.ndarray]:
+    """Random starting values and log ratios; the latter see only the texts marked in ``use`` (default: all)."""
+    use = np.ones(len(y), dtype=bool) if use is None else use
     rng = np.random.default_rng(seed)
     dims = WORD_DIMS + GRAM_DIMS
     parts = {"words": rng.normal(0, 0.05, (BUCKETS, WORD_DIMS)), "grams": rng.normal(0, 0.05, (BUCKETS, GRAM_DIMS)),
@@ -246,23 +265,25 @@ def start_parts(inputs: Inputs, y: np.ndarray, seed: int = 3, dtype=np.float32)
     for d in "fb":
         parts |= {f"w{d}": rng.normal(0, 0.4, (dims, 3 * HIDDEN)), f"u{d}": rng.normal(0, 0.3, (HIDDEN, 3 * HIDDEN)), f"b{d}": np.zeros(3 * HIDDEN)}
     text = np.repeat(np.arange(len(y)), np.diff(inputs.first))
-    parts["words"][:, 0] = _log_ratios(inputs.word_bucket[inputs.word_of], text, y) / 2
+    parts["words"][:, 0] = _log_ratios(inputs.word_bucket[inputs.word_of], text, y, use) / 2
     pairs = np.unique(text * len(inputs.word_bucket) + inputs.word_of)
     pair_text, pair_word = pairs // len(inputs.word_bucket), pairs % len(inputs.word_bucket)
     runs = np.diff(inputs.gram_first)[pair_word]
     gram = np.repeat(inputs.gram_first[pair_word] - (np.cumsum(runs) - runs), runs) + np.arange(runs.sum())
-    parts["grams"][:, 0] = _log_ratios(inputs.gram_bucket[gram], np.repeat(pair_text, runs), y) / 2
+    parts["grams"][:, 0] = _log_ratios(inputs.gram_bucket[gram], np.repeat(pair_text, runs), y, use) / 2
     return {k: v.astype(dtype) for k, v in parts.items()}
 
 
-def train(data: np.ndarray, offsets: np.ndarray, y: np.ndarray, prior: float, rounds: int = 7, passes: int = 2, batch: int = 512,
+def train(data: np.ndarray, offsets: np.ndarray, y: np.ndarray, prior: float, rounds: int = 5, passes: int = 2, batch: int = 512,
           rate: float = 0.02, seed: int = 3) -> ToxicNet:
     """The network for texts with labels ``y``; every fifth text only fits the logistic curve."""
     if len(set(y.tolist())) < 2:
         return ToxicNet(constant=float(y[0]) if len(y) else 0.0)
     held = np.arange(len(y)) % 5 == 4
     inputs = Inputs(data, offsets)
-    parts = start_parts(inputs, np.where(held, 0, y) if (y[~held] == 1).any() else y, seed)
+    if len(set(y[~held].tolist())) < 2:
+        held[:] = False
+    parts = start_parts(inputs, y, seed, use=~held)
     rng = np.random.default_rng(seed)
     first, second = ({k: np.zeros_like(v) for k, v in parts.items()} for _ in range(2))
     step = 0
