@@ -178,18 +178,38 @@ def poisson_weights(profiles: DataFrame, replicates: int, seed: int = 42) -> Dat
     return rows.select("profile", "m", "cells", "b", F.when(small, inverted).otherwise(expanded).alias("w"))
 
 
+# Cumulative Poisson(1) probabilities P(K <= k), k = 0..7.
+POISSON1_CDF = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238463,
+                0.9963401531726563, 0.9994058151824183, 0.9999167588507119, 0.9999897508033253]
+
+
+def _poisson1(u: Column) -> Column:
+    e = None
+    for k, c in enumerate(POISSON1_CDF):
+        e = F.when(u < F.lit(c), F.lit(k)) if e is None else e.when(u < F.lit(c), F.lit(k))
+    return e.otherwise(F.lit(len(POISSON1_CDF)))
+
+
+def object_weights(long: DataFrame, replicates: int, seed: int = 42) -> DataFrame:
+    """(b, w, n_i, cells): one row per object with two or more ratings and replicate, its weight K ~ Poisson(1) drawn from
+    md5(seed:b:object).  An object's categories stay in one row, so each weight is drawn once."""
+    from textlab.functions.hashing import hash_key, unit
+    per = long.filter(F.col("score").isNotNull()).groupBy("object_id", "score").agg(F.count(F.lit(1)).alias("n_k"))
+    objects = per.groupBy("object_id").agg(F.collect_list(F.struct("score", "n_k")).alias("cells"), F.sum("n_k").alias("n_i")).filter(
+        F.col("object_id").isNotNull() & (F.col("n_i") >= 2))
+    rows = objects.withColumn("b", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
+    return rows.select("b", _poisson1(unit(hash_key(F.lit(seed), "b", "object_id"))).alias("w"), "n_i", "cells")
+
+
 def category_agreement_ci(long: DataFrame, replicates: int = 200, level: float = 0.95, seed: int = 42,
                           digits: int = 6) -> DataFrame:
     """Bootstrap interval of the specific agreement per category.
 
-    Poisson bootstrap over objects.  Objects that were rated alike are interchangeable, so they collapse into profiles
-    first and a replicate draws one weight a profile (``poisson_weights``): profiles x replicates rows, however many
-    objects there are.  The interval is the (1-level)/2 and (1+level)/2 percentiles over replicates.  (Our choice of
-    method: the reference's interval comes from an R package whose method is not in the checkout.)
+    Poisson(1) bootstrap over objects: every replicate draws a weight for every object (``object_weights``) and is one
+    weighted aggregation, combined inside the tasks; the interval is the (1-level)/2 and (1+level)/2 percentiles over
+    replicates.  (Our choice of method: the reference's interval comes from an R package whose method is not in the checkout.)
     """
-    drawn = poisson_weights(rating_profiles(long), replicates, seed)
-    n_i = F.aggregate("cells", F.lit(0).cast("bigint"), lambda acc, c: acc + c["n_k"])
-    rows = drawn.select("b", "w", n_i.alias("n_i"), F.inline("cells"))
+    rows = object_weights(long, replicates, seed).select("b", "w", "n_i", F.inline("cells"))
     per = rows.groupBy("b", "score").agg(
         F.sum(F.col("w") * F.col("n_k") * (F.col("n_k") - 1)).alias("num"),
         F.sum(F.col("w") * F.col("n_k") * (F.col("n_i") - 1)).alias("den"))
