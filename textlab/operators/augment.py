@@ -41,9 +41,13 @@ def drop_every_fourth(texts: pd.Series, attempt: int) -> pd.Series:
     return texts.map(rw)
 
 
+# Rows rewritten at a time: a batch may bring thousands of long texts.
+REWRITE_ROWS = 256
+
+
 def _rewrite_partition(rewriter: Rewriter, scorer: Scorer, threshold: float, max_attempts: int):
     def run(batches):
-        for pdf in batches:
+        for pdf in (batch.iloc[at:at + REWRITE_ROWS] for batch in batches for at in range(0, len(batch), REWRITE_ROWS)):
             src = pdf["_src"]
             # With a metadata block the rewrite must keep "title: desc";
             # one without a colon is a failed attempt.
