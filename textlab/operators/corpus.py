@@ -94,8 +94,16 @@ def pack_blocks(docs: DataFrame, id_col: str, tokens_col: str, block: int = 512,
     ranked = ranked.withColumn("_tot", F.sum("_len").over(Window.partitionBy("batch"))).filter(F.col("_len") > 0)
     first = F.floor(F.col("_off") / block)
     last = F.floor((F.col("_off") + F.col("_len") - 1) / block)
-    texts = docs.select(F.col(id_col).alias("_id"), tokens_col, content.alias("_key")).dropDuplicates(["_id", "_key"])
-    cut = texts.join(ranked, F.col("_id").eqNullSafe(F.col(id_col)) & (F.col("_key") == F.col("_content"))).withColumn("block", F.explode(F.sequence(first, last)))
+    # The first row of each (id, content); the join by the same columns, none of them null, needs no further shuffle of the tokens.
+    keys = ["_key", "_none", "_id"]
+
+    def keyed(df: DataFrame, *columns: str) -> DataFrame:
+        return df.select(content.alias("_key") if "_content" not in columns else F.col("_content").alias("_key"), F.col(id_col).isNull().alias("_none"),
+                         F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("_id"), *columns)
+
+    texts = keyed(docs, tokens_col).withColumn("_before", F.lag(F.lit(1)).over(Window.partitionBy(*keys).orderBy(F.lit(0))))
+    found = texts.filter(F.col("_before").isNull()).drop("_before").join(keyed(ranked, "_content", "batch", "_len", "_off", "_tot"), keys)
+    cut = found.withColumn("block", F.explode(F.sequence(first, last)))
     cut = cut.filter(F.col("block") < F.floor(F.col("_tot") / block))
     start = F.greatest(F.col("block") * block - F.col("_off"), F.lit(0)).cast("int")
     stop = F.least((F.col("block") + 1) * block - F.col("_off"), F.col("_len")).cast("int")

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textlab.functions.metrics import binary_metrics
@@ -79,12 +79,14 @@ def rule_baseline_by_group(docs: DataFrame, group_col: str, groups: Sequence[str
     """
     rules = mine_rules(docs, label_col, tokens_col, group_cols=[group_col], **mine_kwargs)
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("rank", "pattern"))), lambda r: r["pattern"])
-    arrays = rules.groupBy(group_col).agg(ordered.alias("_rules"))
+    arrays = rules.groupBy(group_col).agg(ordered.alias("_rules"), F.count(F.lit(1)).alias("num_rules"))
+    arrays = arrays.withColumn("_rules", shortest_rules("_rules"))
     arr = F.coalesce("_rules", F.array().cast("array<string>"))
     pred = (docs.select(group_col, label_col, normalized_text(tokens_col).alias("_text"))
-            .join(F.broadcast(arrays), group_col, "left").withColumn("_rules", arr))
+            .join(F.broadcast(arrays), group_col, "left").withColumn("_rules", arr)
+            .withColumn("num_rules", F.coalesce("num_rules", F.lit(0)).cast("bigint")))
     # Without an explanation the order of the tests is free; ``exists`` stops at the first match.
-    pred = pred.select(group_col, label_col, F.size("_rules").cast("bigint").alias("num_rules"),
+    pred = pred.select(group_col, label_col, "num_rules",
                        F.exists("_rules", lambda r: F.contains(F.col("_text"), r)).cast("int").alias("pred"))
     counts = binary_metrics(pred, label_col, "pred", [group_col, "num_rules"])
     spark = docs.sparkSession
@@ -92,10 +94,17 @@ def rule_baseline_by_group(docs: DataFrame, group_col: str, groups: Sequence[str
     return names.join(counts, group_col, "left").na.fill(0).select(*[c for c in counts.columns if c != "num_rules"], "num_rules")
 
 
-def rule_array(rules: DataFrame):
-    """All patterns in rank order as one array column (scalar subquery)."""
+def shortest_rules(rules) -> Column:
+    """The patterns of an array that hold no other one: a text matches one of these if and only if it matches any."""
+    c = F.col(rules) if isinstance(rules, str) else rules
+    return F.filter(c, lambda r: ~F.exists(c, lambda other: (other != r) & F.contains(r, other)))
+
+
+def rule_array(rules: DataFrame, shortest: bool = False):
+    """All patterns in rank order as one array column (scalar subquery); with ``shortest`` those that hold no other one."""
     ordered = F.array_sort(F.collect_list(F.struct("rank", "pattern")))
-    return rules.select(F.transform(ordered, lambda r: r["pattern"]).alias("r")).scalar()
+    arrays = rules.select(F.transform(ordered, lambda r: r["pattern"]).alias("r"))
+    return (arrays.select(shortest_rules("r").alias("r")) if shortest else arrays).scalar()
 
 
 def predict_rules(docs: DataFrame, rules: DataFrame, tokens_col: str = "tokens",
@@ -111,8 +120,12 @@ def predict_rules(docs: DataFrame, rules: DataFrame, tokens_col: str = "tokens",
     # text must not be rebuilt once per rule inside the lambda, and a
     # subquery may not sit inside a lambda.
     out = docs.withColumn("_text", normalized_text(tokens_col)).withColumn(
-        "_rules", F.coalesce(rule_array(rules), F.array().cast("array<string>")))
+        "_rules", F.coalesce(rule_array(rules, shortest=not explain_col), F.array().cast("array<string>")))
     text, arr = F.col("_text"), F.col("_rules")
+    if not explain_col:
+        # Which rule matches is not asked: ``exists`` stops at the first one.
+        return out.withColumn(
+            pred_col, F.coalesce(F.exists(arr, lambda r: F.contains(text, r)), F.lit(False)).cast("int")).drop("_rules", "_text")
     # First matching rule in rank order; once found, later rules are not
     # tested (And short-circuits on the null check).
     first = F.aggregate(arr, F.lit(None).cast("string"),
