@@ -42,6 +42,7 @@ BATCH_ROWS = 1024
 CHUNK_WORDS = 1 << 15
 MEMO_SYMBOLS = 24
 LEARN_TIMES = 8
+_SLOT_BITS = 20
 _BITS = 44  # of a set of dropped merges; the word's number takes the rest
 BLANK = "▁"
 _NO_PIECE = "\udfff"  # stands for a byte of a character that is no piece
@@ -76,11 +77,32 @@ class PieceTables:
         self.pair_rank = np.array([m[1] for m in merges], dtype=np.int64)
         self.pair_piece = np.array([m[2] for m in merges], dtype=np.int64)
         self.blank_id = self.normal[BLANK]
+        # A pair's place by its hash; where hashes meet, the later pairs are found by search.
+        self.slot = np.zeros(1 << _SLOT_BITS, dtype=np.int32)
+        slots = self._slots(self.pair_key)
+        self.slot[slots[::-1]] = np.arange(len(slots), dtype=np.int32)[::-1]
+        self.crowded = np.zeros(1 << _SLOT_BITS, dtype=bool)
+        self.crowded[slots[self.slot[slots] != np.arange(len(slots))]] = True
 
         self.of_code = np.full(0x110000, -1, dtype=np.int32)  # symbol of each character that is a piece
         self.of_code[[ord(c) for c in self.single]] = list(self.single.values())
         self.of_code[ord(" ")] = self.blank_id
 
+    @staticmethod
+    def _slots(key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
+
+    def find(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the keys among the pairs, and whether they are pairs."""
+        slots = self._slots(key)
+        at = self.slot[slots]
+        found = self.pair_key[at] == key
+        unsure = np.flatnonzero(self.crowded[slots] & ~found)
+        if len(unsure):
+            at[unsure] = np.minimum(np.searchsorted(self.pair_key, key[unsure]), len(self.pair_key) - 1)
+            found[unsure] = self.pair_key[at[unsure]] == key[unsure]
+        return at, found
+
     def symbols(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """First symbols of all words, one after the other (blanks as blank marks), and each word's number of them."""
         codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4")
@@ -109,12 +131,13 @@ def merge_words(tables: PieceTables, symbol: np.ndarray, sizes: np.ndarray, keys
 
     def ranks(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank of the candidate merge of symbols at ``left`` and ``right`` (_NONE: none, or dropped), and its piece."""
-        key = symbol[left] * tables.size + symbol[right]
-        at = np.minimum(np.searchsorted(tables.pair_key, key), len(tables.pair_key) - 1)
-        is_piece = (tables.pair_key[at] == key) & (word[left] == word[right])
+        at, is_piece = tables.find(symbol[left] * tables.size + symbol[right])
+        is_piece &= word[left] == word[right]
         if rate > 0:
-            place = (begin[left].astype(np.uint64) << np.uint64(42)) ^ (end[left].astype(np.uint64) << np.uint64(21)) ^ end[right].astype(np.uint64)
-            is_piece &= mix64(keys[word[left]] + mix64(place)) >= limit
+            some = np.flatnonzero(is_piece)
+            a, b = left[some], right[some]
+            place = (begin[a].astype(np.uint64) << np.uint64(42)) ^ (end[a].astype(np.uint64) << np.uint64(21)) ^ end[b].astype(np.uint64)
+            is_piece[some] = mix64(keys[word[a]] + mix64(place)) >= limit
         return np.where(is_piece, tables.pair_rank[at], _NONE), tables.pair_piece[at]
 
     index = np.arange(len(symbol))
@@ -132,7 +155,8 @@ def merge_words(tables: PieceTables, symbol: np.ndarray, sizes: np.ndarray, keys
             symbol[here], end[here] = piece[here], end[here + 1]
             going[here + 1] = False
         at = np.cumsum(going) - 1  # places after the cut
-        symbol, word, begin, end, rank, piece = (x[going] for x in (symbol, word, begin, end, rank, piece))
+        kept = np.flatnonzero(going)
+        symbol, word, begin, end, rank, piece = (x.take(kept) for x in (symbol, word, begin, end, rank, piece))
         merged = at[here]
         rank[merged] = _NONE
         # The merged symbols' candidates with both neighbours are new.
@@ -174,11 +198,13 @@ class Encoder:
     def __init__(self, tables: PieceTables, rate: float = RATE, seed: int = SEED, memo_words: int = MEMO_WORDS):
         self.tables, self.rate, self.seed, self.memo_words = tables, rate, seed, memo_words
         self.limit = np.uint64(min(int(rate * 2.0 ** 64), (1 << 64) - 1))
-        self.memo: dict[int, bytes] = {}
+        # Where the ids of a (word, set of dropped merges) begin among ``ids`` (times 2^32), and how many there are.
+        self.memo: dict[int, int] = {}
         self._forget()
 
     def _forget(self) -> None:
         self.memo.clear()
+        self.ids, self.n_ids = np.zeros(8192, dtype="<i4"), 0
         self.number: dict[str, int] = {}
         # Of each word: its hash, how often it came, where its possible merges begin among the places, and how many there
         # are (-1: not known yet, -2: too many).
@@ -192,7 +218,7 @@ class Encoder:
         self.known += words
         self.number.update(zip(words, range(at, at + n)))
         self.hash, self.times, self.begin, self.count = (_room(x, at + n) for x in (self.hash, self.times, self.begin, self.count))
-        self.hash[at:at + n] = [zlib.crc32(w.encode()) << 32 | zlib.adler32(w.encode()) for w in words]
+        self.hash[at:at + n] = [zlib.crc32(w) << 32 | zlib.adler32(w) for w in map(str.encode, words)]
         self.count[at:at + n] = -1 if self.rate > 0 else 0
 
     def _learn(self, numbers: np.ndarray) -> None:
@@ -222,16 +248,18 @@ class Encoder:
                 blanks += 1
         return out
 
-    def _pieces(self, words: list[str], keys: np.ndarray) -> list[bytes]:
-        """Ids of words; ``keys`` stand for their documents and positions."""
+    def _pieces(self, words: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words, one after the other, and each word's number of them; ``keys`` stand for their documents and positions."""
         if len(self.memo) > self.memo_words or len(self.number) > self.memo_words:
             self._forget()
-        new = [w for w in dict.fromkeys(words) if w not in self.number]
+        coded = pa.array(words, pa.string()).dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        new = [w for w in distinct if w not in self.number]
         if new:
             self._meet(new)
-        number = np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words))
+        number = np.fromiter(map(self.number.__getitem__, distinct), dtype=np.int64, count=len(distinct))[coded.indices.to_numpy()]
         self.times[:len(self.known)] += np.bincount(number, minlength=len(self.known))
-        due = np.flatnonzero((self.times >= LEARN_TIMES) & (self.count == -1))
+        due = np.flatnonzero((self.times[:len(self.known)] >= LEARN_TIMES) & (self.count[:len(self.known)] == -1))
         if len(due):
             self._learn(due)
         keys = mix64(keys + self.hash[number])
@@ -242,22 +270,31 @@ class Encoder:
         dropped = np.flatnonzero(mix64(keys[owner] + self.places[self.begin[number][owner] + bit]) < self.limit)
         # Sums of different powers of two below 2^44 are exact.
         mask = np.bincount(owner[dropped], weights=np.exp2(bit[dropped]), minlength=len(words)).astype(np.int64)
-        cases = ((number << _BITS) | mask).tolist()
-        always = np.flatnonzero(self.count[number] < 0)
-        for i in always.tolist():
-            cases[i] = -1 - i  # not remembered
-        todo = {c: i for i, c in enumerate(cases) if c not in self.memo}
-        made: dict[int, bytes] = {}
-        order = list(todo.items())
-        for at in range(0, len(order), 10_000):
-            some = order[at:at + 10_000]
-            ids, offsets = merge_words(self.tables, *self.tables.symbols([" " + words[i] for _, i in some]), keys[[i for _, i in some]], self.rate)
-            raw, bounds = ids.tobytes(), (offsets * 4).tolist()
-            for (c, _), a, b in zip(some, bounds, bounds[1:]):
-                (made if c < 0 else self.memo)[c] = raw[a:b]
-        if not made:
-            return list(map(self.memo.__getitem__, cases))
-        return [made[c] if c < 0 else self.memo[c] for c in cases]
+        known = self.count[number] >= 0
+        learnt, always = np.flatnonzero(known), np.flatnonzero(~known)
+        cases, example, case = np.unique(((number << _BITS) | mask)[learnt], return_index=True, return_inverse=True)
+        places = list(map(self.memo.get, cases.tolist()))
+        missing = np.array([i for i, p in enumerate(places) if p is None], dtype=np.int64)
+        todo = np.concatenate([learnt[example[missing]], always])
+        made, sizes = [np.zeros(0, dtype="<i4")], [np.zeros(0, dtype=np.int64)]
+        for at in range(0, len(todo), 10_000):
+            some = todo[at:at + 10_000]
+            ids, offsets = merge_words(self.tables, *self.tables.symbols([" " + words[i] for i in some.tolist()]), keys[some], self.rate)
+            made.append(ids)
+            sizes.append(np.diff(offsets))
+        ids, size = np.concatenate(made), np.concatenate(sizes)
+        # The ids of what is not remembered stand behind the others for this call.
+        self.ids = _room(self.ids, self.n_ids + len(ids))
+        self.ids[self.n_ids:self.n_ids + len(ids)] = ids
+        place = (self.n_ids + np.cumsum(size) - size) << 32 | size
+        for i, p in zip(missing.tolist(), place.tolist()):
+            places[i] = p
+        self.memo.update(zip(cases[missing].tolist(), place.tolist()))
+        self.n_ids += int(size[:len(missing)].sum())
+        of_word = np.empty(len(words), dtype=np.int64)
+        of_word[learnt], of_word[always] = np.array(places, dtype=np.int64)[case], place[len(missing):]
+        begin, length = of_word >> 32, of_word & 0xFFFFFFFF
+        return self.ids[np.arange(length.sum()) + np.repeat(begin - np.cumsum(length) + length, length)], length
 
     def encode(self, texts: list[str], documents: list[int]) -> list[bytes]:
         split = [self._parts(t) if t else [] for t in texts]
@@ -265,13 +302,16 @@ class Encoder:
         ends = np.cumsum(sizes)
         document = mix64(np.array([d % (1 << 64) for d in documents], dtype=np.uint64) + np.uint64(self.seed * 1_000_003 % (1 << 64)))
         words = [w for parts in split for w in parts]
-        done: list[bytes] = []
+        done, lengths = [np.zeros(0, dtype="<i4")], [np.zeros(1, dtype=np.int64)]
         for at in range(0, len(words), CHUNK_WORDS):
             index = np.arange(at, min(at + CHUNK_WORDS, len(words)))
             text = np.searchsorted(ends, index, side="right")
             position = (index - (ends - sizes)[text]).astype(np.uint64)
-            done += self._pieces(words[at:at + CHUNK_WORDS], mix64(document[text] + mix64(position)))
-        return [b"".join(done[b - n:b]) for b, n in zip(ends.tolist(), sizes.tolist())]
+            ids, length = self._pieces(words[at:at + CHUNK_WORDS], mix64(document[text] + mix64(position)))
+            done.append(ids)
+            lengths.append(length)
+        raw, to = np.concatenate(done).tobytes(), 4 * np.cumsum(np.concatenate(lengths))
+        return [raw[a:b] for a, b in zip(to[ends - sizes].tolist(), to[ends].tolist())]
 
 
 def _room(array: np.ndarray, size: int) -> np.ndarray:
