@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from textlab.functions.hashing import h60, hash_key
 from textlab.operators.rules import rule_baseline_by_group
 from textlab.operators.splits import exact_rank
+from textlab.session import checkpoint_dir
 
 
 def compare_variants(variants: Mapping[str, DataFrame], evaluate: Callable[[DataFrame], DataFrame],
@@ -70,7 +71,12 @@ def cosine_rank(candidates: DataFrame, vec_col: str, query: Column, id_col: str,
 def next_round_sample(predicted: DataFrame, id_col: str = "doc_id", pred_col: str = "pred",
                       seed: int = 42) -> DataFrame:
     """Every predicted positive plus as many predicted negatives, drawn in
-    md5(seed:id) order."""
+    md5(seed:id) order.
+
+    The predictions are made once and checkpointed: they are read to count the positives, to return them, and (twice) to
+    rank the negatives."""
+    checkpoint_dir(predicted.sparkSession)
+    predicted = predicted.checkpoint(eager=True)
     pos = predicted.filter(F.col(pred_col) == 1).withColumn("stratum", F.lit("predicted_positive"))
     n_pos = pos.select(F.count(F.lit(1))).scalar()
     neg = predicted.filter(F.col(pred_col) == 0).withColumn("_h", h60(hash_key(F.lit(seed), id_col)))
